@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +44,11 @@ def whole_text(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``limit`` bytes in each; every row stays whole."""
     import pyarrow.compute as pc
