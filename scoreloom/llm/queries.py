@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, media, packing, pseudonyms, secrets, sharding, simhash, substrings
+from . import decontaminate, lines, media, packing, pseudonyms, quality, secrets, sharding, simhash, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
+        "op2_quality_classifier": quality.op2_quality_classifier,
+        "op3_line_dedup": lines.op3_line_dedup,
         "op4_pseudonyms": pseudonyms.op4_pseudonyms,
         "op5_substrings": substrings.op5_substrings,
         "op6_hilbert_shards": sharding.op6_hilbert_shards,

@@ -52,14 +52,14 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp: the fingerprint as a signed long."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in _shared.by_bytes(batches, "text"):
-            fps = np.array([fingerprint((t or "").encode()) for t in batch.column("text").to_pylist()], np.uint64)
+            fps = np.array([fingerprint((t or "").encode(), shingle) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, fp long")
@@ -160,11 +160,7 @@ def links(keyed: DataFrame) -> DataFrame:
 
 def late_links(late: DataFrame, block: int = buckets.BLOCK) -> DataFrame:
     """u, v for the rows (key, fp) of large buckets: every pair of blocks is a group of its own."""
-    blocks = late.groupBy("key").agg(F.ceil(F.count("*") / block).alias("n"))
-    dealt = late.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("n")))
-    others = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    dealt = dealt.select("key", "fp", "own", others.alias("other"))
-    dealt = dealt.select("key", "fp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    dealt = buckets.block_pairs(late, "fp", block)
 
     def link(table: pa.Table) -> pa.Table:
         import numpy as np
@@ -191,9 +187,9 @@ def near_classes(fps: DataFrame) -> DataFrame:
     return components.components(edges).withColumnRenamed("node", "fp")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp, component_id (the least doc_id of the class) for every document."""
-    fps = _shared.stored(fingerprints(docs), "fingerprints")
+    fps = _shared.stored(fingerprints(docs, shingle), "fingerprints")
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = least.join(near_classes(fps), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
