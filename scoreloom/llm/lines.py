@@ -228,7 +228,7 @@ def verified(found: DataFrame, least: float = SIMILARITY) -> DataFrame:
                     vs.append(v)
             if us:
                 u, v = np.concatenate(us), np.concatenate(vs)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array([False] * len(u)), pa.nulls(len(u), pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array([False] * len(u), pa.bool_()), pa.nulls(len(u), pa.string())], names=names)
 
     return found.repartition("key").sortWithinPartitions("key", "lid").mapInArrow(emit, "u long, v long, late boolean, line string")
 
