@@ -99,10 +99,11 @@ def pool(df: DataFrame, key: str, text: str, vectors: DataFrame) -> DataFrame:
     counted = tokens.select(key, F.explode("_t").alias("word")).groupBy(key, "word").agg(F.count("*").alias("_n"))
     held = counted.join(vectors, "word").select(key, "_n", array_to_vector(F.col("vector").cast("array<double>")).alias("_v"))
     means = held.groupBy(key).agg(Summarizer.mean(F.col("_v"), F.col("_n").cast("double")).alias("_m"), F.sum("_n").alias("_k"))
+    means = means.select(key, vector_to_array("_m", "float32").alias("_m"), "_k")
     first = vectors.select(F.size("vector").alias("n")).first()
     zero = F.array_repeat(F.lit(0.0).cast("float"), first.n if first else 0)
     out = tokens.select(key, F.size("_t").cast("long").alias("token_count")).join(means, key, "left")
-    return out.select(key, F.coalesce(vector_to_array("_m", "float32"), zero).alias("vector"), "token_count", F.coalesce("_k", F.lit(0)).alias("known_token_count"))
+    return out.select(key, F.coalesce("_m", zero).alias("vector"), "token_count", F.coalesce("_k", F.lit(0)).alias("known_token_count"))
 
 
 def coverage(pooled: DataFrame) -> DataFrame:
