@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The documented markers by group, in the order in which they are replaced.
 MARKERS = {
@@ -34,7 +35,7 @@ def marker_pattern(group: str) -> str:
     return "|".join(rf"\Q{t}\E" for t in sorted(MARKERS[group], key=len, reverse=True))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None or unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t))
 
