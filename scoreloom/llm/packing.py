@@ -23,8 +23,11 @@ from . import _shared
 
 CAPACITY = 2048
 SALTS = 64
-#: Words kept with their ids in each Python worker.
-CACHE_WORDS = 400_000
+#: Parts of words kept with their ids in each Python worker.
+CACHE_WORDS = 600_000
+#: The vocabulary's own pattern for parts of words.
+PART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MARKS = frozenset(".,;:!?")
 #: In these characters lower-casing, composition and white space mean the same to all libraries.
 PLAIN = r"[^\t\n\r -~¡-¬®-įıĴ-ňŊ-ſ‐-‧…€]"
 
@@ -37,19 +40,49 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class WordIds:
-    """Ids of whole texts, encoding each distinct word once.
+    """Ids of whole texts, encoding each distinct part of a word once.
 
     The vocabulary's splitter never joins characters across white space, so the ids of a text
-    are those of its words in turn. Texts with characters outside ``PLAIN``, or with a
-    special token's string, go to the tokenizer whole.
+    are those of its words in turn, and a word's are those of its parts. Texts with characters outside
+    ``PLAIN``, or with a special token's string, go to the tokenizer whole.
     """
 
+    #: Shared by the tasks of a worker, by path.
+    caches: dict[str, dict[str, tuple[int, ...]]] = {}
+
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.model = self.tokenizer.model
+        self.parts = regex.compile(PART).findall
+        self.letters = byte_letters()
+        self.seen = self.caches.setdefault(path, {})
+
+    def part(self, part: str) -> tuple[int, ...]:
+        ids = self.seen.get(part)
+        if ids is None:
+            if len(self.seen) >= CACHE_WORDS:
+                self.seen.clear()
+            coded = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            ids = self.seen[part] = tuple([t.id for t in self.model.tokenize(coded)])
+        return ids
+
+    def word(self, word: str) -> tuple[int, ...]:
+        if word.isalpha():
+            return self.part(word)
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return self.part(word[:-1]) + self.part(word[-1])
+        return tuple([i for part in self.parts(word) for i in self.part(part)])
 
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -68,15 +101,7 @@ class WordIds:
             words = words.combine_chunks()
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w and w not in self.seen]
-        if len(self.seen) + len(new) > CACHE_WORDS:
-            self.seen.clear()
-            new = [w for w in distinct if w]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, ids in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.seen[word] = tuple(ids.ids)
-        table = [self.seen[w] if w else () for w in distinct]
+        table = [self.word(w) for w in distinct]
         sizes = np.fromiter(map(len, table), np.int64, len(table))
         flat = np.fromiter((x for ids in table for x in ids), np.uint32, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
