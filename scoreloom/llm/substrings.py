@@ -27,6 +27,8 @@ from . import _shared, buckets
 LEAST = 200
 GRAM = 32
 CHUNK = 1 << 18
+#: Windows of a text that are taken at once; a longer text is read in parts that overlap by a window.
+PART = 1 << 22
 POSITION = (1 << 24) - 1
 SEGMENT = "core long, same long, doc_id long, part int, place long"
 
@@ -77,7 +79,7 @@ def segments(data: "np.ndarray", ends: "np.ndarray", least: int = LEAST) -> tupl
     return first, stop - first, h[anchor[first]]
 
 
-def split(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def split(docs: DataFrame, least: int = LEAST, part: int = PART) -> DataFrame:
     """A row per segment: core (anchor), same (hash of its bytes), doc_id, part, place (start * 256 + windows)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,14 +89,17 @@ def split(docs: DataFrame, least: int = LEAST) -> DataFrame:
         digest = xxhash.xxh3_64_intdigest
         for batch in _shared.by_bytes(batches, "text", CHUNK):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            for i, j in _chunks(texts):
-                raw = b"".join(texts[i:j])
-                ends = np.cumsum([len(t) for t in texts[i:j]])
+            whole = [(k, a) for k, t in enumerate(texts) for a in range(0, max(1, len(t) - least + 1), part)]
+            pieces = [texts[k][a : a + part + least - 1] for k, a in whole]
+            owner, base = (np.array(x, np.int64) for x in zip(*whole))
+            for i, j in _chunks(pieces):
+                raw = b"".join(pieces[i:j])
+                ends = np.cumsum([len(t) for t in pieces[i:j]])
                 start, n, core = segments(np.frombuffer(raw, np.uint8), ends, least)
                 same = np.array([digest(raw[a : a + k + least - 1]) for a, k in zip(start.tolist(), n.tolist())], np.uint64)
                 row = np.searchsorted(ends, start, side="right")
-                inner = start - np.concatenate([[0], ends[:-1]])[row]
-                take = pa.array(row + i)
+                inner = start - np.concatenate([[0], ends[:-1]])[row] + base[i + row]
+                take = pa.array(owner[i + row])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core.view(np.int64)), pa.array(same.view(np.int64)), batch.column("doc_id").take(take), batch.column("part").take(take), pa.array(inner * 256 + n)],
                     names=["core", "same", "doc_id", "part", "place"],
@@ -104,15 +109,13 @@ def split(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Runs of texts with together fewer bytes than places have bits for; a larger text stands alone."""
+    """Runs of texts with together fewer bytes than places have bits for."""
     i, held = 0, 0
     for j, t in enumerate(texts):
         if j > i and held + len(t) > POSITION:
             yield i, j
             i, held = j, 0
         held += len(t)
-        if len(t) > POSITION:
-            raise ValueError("a document of over 16 MB must be cut into overlapping parts first")
     if i < len(texts):
         yield i, len(texts)
 

@@ -88,3 +88,15 @@ def test_earlier_match(text, depth):
     for i in starts:
         earlier = {j for j in range(i) if text[j : j + depth] == text[i : i + depth]}
         assert got[i] in earlier if earlier else got[i] == -1
+
+
+def test_long_texts_in_parts(spark):
+    """A text read in overlapping parts has the windows, and the anchors, that it has when read at once."""
+    text = " ".join(str(i * i) for i in range(400)) + "ab" * 400
+    docs = spark.createDataFrame([(1, 0, text), (2, 0, text[:500]), (3, 0, None)], "doc_id long, part int, text string")
+
+    def windows(part):
+        rows = substrings.split(docs, part=part).collect()
+        return {(r.doc_id, r.place // 256 + i, r.core) for r in rows for i in range(r.place % 256)}
+
+    assert windows(333) == windows(substrings.PART) and len(windows(333)) == len(text) - substrings.LEAST + 1 + 301
