@@ -27,6 +27,8 @@ SHINGLE = 8
 BANDS, ROWS = 9, 4
 SIMILARITY = 0.8
 BLOCK = 1024
+#: Cells of the table of lines by shingles that a task may hold; beyond, lines are compared set by set.
+DENSE_CELLS = 8_000_000
 CHUNK = 1 << 20
 
 
@@ -172,18 +174,24 @@ def _similar(lines: list[str], least: float) -> Callable[["np.ndarray", "np.ndar
 
     line, h = shingles(lines)
     terms, column = np.unique(h, return_inverse=True)
-    if len(lines) * len(terms) <= 40_000_000:
-        held = np.zeros((len(lines), len(terms)), np.float32)
-        held[line, column] = 1
-        size = held.sum(axis=1)
+    cell = np.unique(line * len(terms) + column)
+    line, column = cell // max(1, len(terms)), cell % max(1, len(terms))
+    size = np.bincount(line, minlength=len(lines)).astype(np.float32)
+    holders = np.bincount(column, minlength=len(terms))
+    # Terms of one line match nothing and terms of all lines match everywhere, so neither needs a column.
+    told = (holders > 1) & (holders < len(lines))
+    everywhere = int(np.count_nonzero(holders == len(lines)))
+    if len(lines) * int(np.count_nonzero(told)) <= DENSE_CELLS:
+        place = np.cumsum(told) - 1
+        held = np.zeros((len(lines), int(np.count_nonzero(told))), np.float32)
+        held[line[told[column]], place[column[told[column]]]] = 1
 
         def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            common = held[a] @ held[b].T
+            common = held[a] @ held[b].T + everywhere
             return (common >= least * (size[a][:, None] + size[b][None] - common) - 1e-4).any(axis=0)
     else:
-        order = np.argsort(line, kind="stable")
-        cuts = np.searchsorted(line[order], np.arange(len(lines) + 1))
-        sets = [np.unique(column[order][x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
+        cuts = np.searchsorted(line, np.arange(len(lines) + 1))
+        sets = [column[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
 
         def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             def pair(x: int, y: int) -> bool:

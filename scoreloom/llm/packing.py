@@ -23,8 +23,10 @@ from . import _shared
 
 CAPACITY = 2048
 SALTS = 64
-#: Parts of words kept with their ids in each Python worker.
-CACHE_WORDS = 600_000
+#: Parts of words in each of the two generations that a Python worker keeps with their ids.
+CACHE_WORDS = 150_000
+#: Bytes of text encoded at once.
+ENCODE_BYTES = 4 << 20
 #: The vocabulary's own pattern for parts of words.
 PART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MARKS = frozenset(".,;:!?")
@@ -55,8 +57,10 @@ class WordIds:
     ``PLAIN``, or with a special token's string, go to the tokenizer whole.
     """
 
-    #: Shared by the tasks of a worker, by path.
-    caches: dict[str, dict[str, tuple[int, ...]]] = {}
+    #: Shared by the tasks of a worker, by path: the parts met lately, and those met before them.
+    caches: dict[str, list[dict[str, tuple[int, ...]]]] = {}
+    #: One object for each id, so that the parts share them.
+    numbers: dict[int, int] = {}
 
     def __init__(self, path: str):
         import regex
@@ -66,15 +70,19 @@ class WordIds:
         self.model = self.tokenizer.model
         self.parts = regex.compile(PART).findall
         self.letters = byte_letters()
-        self.seen = self.caches.setdefault(path, {})
+        self.seen = self.caches.setdefault(path, [{}, {}])
+        self.number = self.numbers.setdefault
 
     def part(self, part: str) -> tuple[int, ...]:
-        ids = self.seen.get(part)
+        ids = self.seen[0].get(part)
         if ids is None:
-            if len(self.seen) >= CACHE_WORDS:
-                self.seen.clear()
-            coded = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            ids = self.seen[part] = tuple([t.id for t in self.model.tokenize(coded)])
+            ids = self.seen[1].get(part)
+            if ids is None:
+                coded = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+                ids = tuple([self.number(t.id, t.id) for t in self.model.tokenize(coded)])
+            if len(self.seen[0]) >= CACHE_WORDS:
+                self.seen[:] = {}, self.seen[0]
+            self.seen[0][part] = ids
         return ids
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -139,7 +147,7 @@ def tokenize(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY)
         import numpy as np
 
         coder = WordIds(path)
-        for batch in _shared.by_bytes(batches, "text"):
+        for batch in _shared.by_bytes(batches, "text", ENCODE_BYTES):
             ids, counts = coder.encode(batch.column("text"))
             raw = ids.astype("<u4").tobytes()
             pieces = -(-counts // capacity)
