@@ -26,6 +26,8 @@ BITS = 18
 GRAM = 5
 #: Bound on the labelled documents that the driver fits on; their features take some 8 KB each.
 SAMPLE = 6000
+#: Entries of the sparse table that the fit gathers at once.
+STEP = 1 << 20
 ROUNDS, RATE, L1 = 120, 0.15, 2e-4
 TAIL = 0.5
 
@@ -70,6 +72,16 @@ class Ordinal:
         return np.diff(np.concatenate([np.zeros((len(score), 1)), below, np.ones((len(score), 1))], axis=1), axis=1)
 
 
+def summed(index: "np.ndarray", values: "np.ndarray", at: "np.ndarray", n: int) -> "np.ndarray":
+    """The sum of ``values[at]`` for each of n indices, STEP entries at a time."""
+    import numpy as np
+
+    out = np.zeros(n)
+    for a in range(0, len(index), STEP):
+        out += np.bincount(index[a : a + STEP], values[at[a : a + STEP]], minlength=n)
+    return out
+
+
 def fit(rows: list["np.ndarray"], grades: "np.ndarray", n_grades: int = 3, bits: int = BITS, rounds: int = ROUNDS, rate: float = RATE, l1: float = L1) -> Ordinal:
     """Maximum likelihood with an L1 penalty, by full-batch proximal AdaGrad; the same rows give the same model."""
     import numpy as np
@@ -81,9 +93,9 @@ def fit(rows: list["np.ndarray"], grades: "np.ndarray", n_grades: int = 3, bits:
     column = np.concatenate(rows)
     count = np.bincount(column, minlength=1 << bits)
     used = np.flatnonzero((count >= 3) & (count <= 0.9 * len(rows)))
-    code = np.full(1 << bits, -1)
+    code = np.full(1 << bits, -1, np.int32)
     code[used] = np.arange(len(used))
-    row, column = np.repeat(np.arange(len(rows), dtype=np.int32), size), code[column].astype(np.int32)
+    row, column = np.repeat(np.arange(len(rows), dtype=np.int32), size), code[column]
     row, column = row[column >= 0], column[column >= 0]
     w = np.zeros(len(used))
     share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / len(grades), 1e-3, 1 - 1e-3)
@@ -93,12 +105,12 @@ def fit(rows: list["np.ndarray"], grades: "np.ndarray", n_grades: int = 3, bits:
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
     n = len(rows)
     for _ in range(rounds):
-        score = np.bincount(row, w[column], minlength=n)
+        score = summed(row, w, column, n)
         edges = np.concatenate([[-np.inf], cut, [np.inf]])
         a, b = sigmoid(edges[grades + 1] - score), sigmoid(edges[grades] - score)
         p = np.maximum(a - b, 1e-9)
         pull = 1 - a - b
-        gradient = np.bincount(column, pull[row], minlength=len(used)) / n
+        gradient = summed(column, pull, row, len(used)) / n
         for k in range(len(cut)):
             g = (np.sum((b * (1 - b) / p)[grades == k + 1]) - np.sum((a * (1 - a) / p)[grades == k])) / n
             held_cut[k] += g * g
