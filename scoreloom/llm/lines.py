@@ -174,17 +174,22 @@ def _similar(lines: list[str], least: float) -> Callable[["np.ndarray", "np.ndar
 
     line, h = shingles(lines)
     terms, column = np.unique(h, return_inverse=True)
-    cell = np.unique(line * len(terms) + column)
-    line, column = cell // max(1, len(terms)), cell % max(1, len(terms))
-    size = np.bincount(line, minlength=len(lines)).astype(np.float32)
-    holders = np.bincount(column, minlength=len(terms))
-    # Terms of one line match nothing and terms of all lines match everywhere, so neither needs a column.
-    told = (holders > 1) & (holders < len(lines))
-    everywhere = int(np.count_nonzero(holders == len(lines)))
-    if len(lines) * int(np.count_nonzero(told)) <= DENSE_CELLS:
-        place = np.cumsum(told) - 1
-        held = np.zeros((len(lines), int(np.count_nonzero(told))), np.float32)
-        held[line[told[column]], place[column[told[column]]]] = 1
+    width, everywhere, size = len(terms), 0, None
+    if len(lines) * width > DENSE_CELLS:
+        cell = np.unique(line * width + column)
+        line, column = cell // width, cell % width
+        size = np.bincount(line, minlength=len(lines)).astype(np.float32)
+        holders = np.bincount(column, minlength=width)
+        # Terms of one line match nothing and terms of all lines match everywhere, so neither needs a column.
+        told = (holders > 1) & (holders < len(lines))
+        everywhere, width = int(np.count_nonzero(holders == len(lines))), int(np.count_nonzero(told))
+    if len(lines) * width <= DENSE_CELLS:
+        if size is not None:
+            place, own = np.cumsum(told) - 1, told[column]
+            line, column = line[own], place[column[own]]
+        held = np.zeros((len(lines), width), np.float32)
+        held[line, column] = 1
+        size = held.sum(axis=1) if size is None else size
 
         def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             common = held[a] @ held[b].T + everywhere
