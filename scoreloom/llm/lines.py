@@ -274,7 +274,7 @@ def line_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, part, at, lid: every line with its number in its document."""
+    """doc_id, part, at, lid: every line with its number in its document; a repeated row gives the same rows again."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -291,7 +291,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("part").take(take), pa.array(at, pa.int32()), pa.array(_identify(lines))], names=["doc_id", "part", "at", "lid"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part int, at int, lid long").distinct()
+    return rows.mapInArrow(emit, "doc_id long, part int, at int, lid long")
 
 
 def removals(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -301,7 +301,7 @@ def removals(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     rooted = _shared.stored(rooted, "occurrences")
     firsts = rooted.groupBy("root").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     gone = rooted.join(firsts, "root").where(~place.eqNullSafe(F.col("first")))
-    return gone.groupBy(F.col("doc_id").alias("_id"), F.col("part").alias("_part")).agg(F.collect_list("at").alias("_gone"))
+    return gone.groupBy(F.col("doc_id").alias("_id"), F.col("part").alias("_part")).agg(F.collect_set("at").alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, least: float = SIMILARITY, drop_emptied: bool = False) -> DataFrame:
