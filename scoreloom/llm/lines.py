@@ -30,6 +30,8 @@ BLOCK = 1024
 #: Cells of the table of lines by shingles that a task may hold; beyond, lines are compared set by set.
 DENSE_CELLS = 8_000_000
 CHUNK = 1 << 20
+#: Lines that a task remembers, so that it gives each once; beyond, it may give some again.
+SEEN = 2_000_000
 
 
 def normal(line: str) -> str:
@@ -103,23 +105,16 @@ def _fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
                 line = normal(line)
                 if line and (h := hash(line)) not in seen and h not in new:
                     new[h] = line
-        if len(seen) > 2_000_000:
+        if len(seen) > SEEN:
             seen.clear()
         seen.update(new)
         if new:
             yield list(new.values())
 
 
-def banded(docs: DataFrame) -> DataFrame:
+def banded(rows: DataFrame) -> DataFrame:
     """key, lid: each distinct line's band keys; a line comes once from each task that has it."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lines in _fresh(batches):
-            keys, lid = band_keys(lines), pa.array(_identify(lines))
-            for band in range(keys.shape[1]):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[:, band].copy().view("int64")), lid], names=["key", "lid"])
-
-    return docs.select("text").mapInArrow(emit, "key long, lid long")
+    return rows.select(F.explode("keys").alias("key"), "lid")
 
 
 def candidates(keyed: DataFrame) -> DataFrame:
@@ -260,9 +255,9 @@ def late_links(late: DataFrame, least: float = SIMILARITY, block: int = BLOCK) -
     return dealt.groupBy("key", "x", "y").applyInArrow(link, "u long, v long")
 
 
-def line_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """lid, root for each line that is linked with a lesser one."""
-    found = _shared.stored(candidates(banded(docs)), "candidates")
+def line_classes(docs: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """lid, root for each line that is linked with a lesser one; ``rows`` are the occurrences in ``docs``."""
+    found = _shared.stored(candidates(banded(rows)), "candidates")
     needed = found.select("lid").distinct()
     texts = lines_of(docs).join(needed, "lid", "left_semi").dropDuplicates(["lid"])
     links = _shared.stored(verified(found.join(texts, "lid"), least), "links")
@@ -274,11 +269,15 @@ def line_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, part, at, lid: every line with its number in its document; a repeated row gives the same rows again."""
+    """doc_id, part, at, lid, keys: every line with its number in its document; a repeated row gives the same rows again.
+
+    The line's band keys come with its first occurrence in a task; ``keys`` is empty at others.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        seen: set[int] = set()
         for batch in _shared.by_bytes(batches, "text", CHUNK):
             row, at, lines = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -287,17 +286,28 @@ def occurrences(docs: DataFrame) -> DataFrame:
                         row.append(i)
                         at.append(j)
                         lines.append(line)
+            if not lines:
+                continue
+            lid = _identify(lines)
+            if len(seen) > SEEN:
+                seen.clear()
+            new = [k for k, x in enumerate(lid.tolist()) if not (x in seen or seen.add(x))]
+            ends = np.zeros(len(lines) + 1, np.int32)
+            ends[np.array(new, np.int64) + 1] = BANDS
+            keys = band_keys([lines[k] for k in new]).ravel() if new else np.zeros(0, np.uint64)
+            keys = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(keys.view(np.int64)))
             take = pa.array(np.array(row, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("part").take(take), pa.array(at, pa.int32()), pa.array(_identify(lines))], names=["doc_id", "part", "at", "lid"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("part").take(take), pa.array(at, pa.int32()), pa.array(lid), keys], names=["doc_id", "part", "at", "lid", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part int, at int, lid long")
+    return rows.mapInArrow(emit, "doc_id long, part int, at int, lid long, keys array<long>")
 
 
 def removals(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """_id, _part, _gone (numbers of the lines to remove) for each document that loses lines."""
     place = F.struct("doc_id", "part", "at")
-    rooted = occurrences(docs).join(line_classes(docs, least), "lid", "left").select("doc_id", "part", "at", F.coalesce("root", "lid").alias("root"))
+    rows = _shared.stored(occurrences(docs), "lines")
+    rooted = rows.drop("keys").join(line_classes(docs, rows, least), "lid", "left").select("doc_id", "part", "at", F.coalesce("root", "lid").alias("root"))
     rooted = _shared.stored(rooted, "occurrences")
     firsts = rooted.groupBy("root").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     gone = rooted.join(firsts, "root").where(~place.eqNullSafe(F.col("first")))
