@@ -46,12 +46,13 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Recor
 def block_pairs(late: DataFrame, item: str, block: int) -> DataFrame:
     """The rows (key, item, ...) of large buckets with x, y: each pair of blocks of about ``block`` items is a group.
 
-    Every two items of a bucket meet in some group; a bucket of n items takes n * n / block rows.
+    Every two items of a bucket meet in some group; a bucket of n items takes n * n / block rows. The groups of one
+    bucket are dealt to all tasks: left to the join, they would stay in the task of their key.
     """
     blocks = late.groupBy("key").agg(F.ceil(F.count("*") / block).alias("n"))
     dealt = late.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64(item), F.col("n")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    return dealt.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("n", "own", "other")
+    return dealt.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("n", "own", "other").repartition("key", "x", "y")
 
 
 def spread(n: int, linked: Callable[["np.ndarray", "np.ndarray"], "np.ndarray"]) -> "np.ndarray":
