@@ -244,7 +244,7 @@ def matches(bytes_of: DataFrame, keep_first: bool, least: int = LEAST) -> DataFr
 def _repeats(rows: DataFrame, keep_first: bool) -> tuple[DataFrame, DataFrame]:
     """(rows whose bytes occur more than once, a row per distinct bytes with n occurrences)."""
     place = F.struct("doc_id", "part", "place")
-    distinct = rows.groupBy("core", "same").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    distinct = _shared.stored(rows.groupBy("core", "same").agg(F.count("*").alias("n"), F.min(place).alias("first")), "distinct")
     many = distinct.where("n > 1")
     dups = rows.join(many, ["core", "same"])
     if keep_first:
@@ -258,10 +258,10 @@ def repeated_windows(docs: DataFrame, small: DataFrame, keep_first: bool = False
     ``docs``: doc_id, part, text; ``small``: doc_id, part, packed, the text compressed for the shuffle.
     """
     all_rows = _shared.stored(split(docs, least), "segments")
-    again = all_rows.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core")
+    # Stored, since adaptive execution splits a hot key only where both sides come straight from a shuffle.
+    again = _shared.stored(all_rows.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "again")
     rows = _shared.stored(all_rows.join(again, "core", "left_semi"), "repeated")
     dups, distinct = _repeats(rows, keep_first)
-    distinct = _shared.stored(distinct, "distinct")
     open_ = distinct.join(distinct.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "core", "left_semi")
     wanted = open_.select("core", "first.*").groupBy("doc_id", "part").agg(F.collect_list(F.struct("core", "place")).alias("wanted"))
     carried = small.select(F.col("doc_id").alias("_id"), F.col("part").alias("_part"), "packed")
