@@ -133,7 +133,8 @@ def scan_history(versions: DataFrame, ledger_dir: str, rules: tuple[Rule, ...] =
     current = spark.read.schema(LEDGER).parquet(ledger_dir).where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s"))
     current = current.where(F.col("s.kind").isin([r.kind for r in rules]))
     span = F.struct(F.col("s.start").alias("start"), ranks[F.col("s.kind")].alias("rank"), F.col("s.kind").alias("kind"), F.col("s.stop").alias("stop"))
-    findings = current.groupBy("blob").agg(F.array_sort(F.collect_set(span)).alias("spans"))
+    # Stored, since adaptive execution splits a hot blob's paths only where both sides come straight from a shuffle.
+    findings = _shared.stored(current.groupBy("blob").agg(F.array_sort(F.collect_set(span)).alias("spans")), "findings")
     return addressed.select("path", "blob").join(findings, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")))
 
 
