@@ -309,7 +309,8 @@ def removals(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     rows = _shared.stored(occurrences(docs), "lines")
     rooted = rows.drop("keys").join(line_classes(docs, rows, least), "lid", "left").select("doc_id", "part", "at", F.coalesce("root", "lid").alias("root"))
     rooted = _shared.stored(rooted, "occurrences")
-    firsts = rooted.groupBy("root").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    # Stored, since adaptive execution splits a hot line only where both sides come straight from a shuffle.
+    firsts = _shared.stored(rooted.groupBy("root").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "firsts")
     gone = rooted.join(firsts, "root").where(~place.eqNullSafe(F.col("first")))
     return gone.groupBy(F.col("doc_id").alias("_id"), F.col("part").alias("_part")).agg(F.collect_set("at").alias("_gone"))
 
