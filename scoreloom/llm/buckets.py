@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one key that a task compares at once; larger buckets are compared block by block.
@@ -43,13 +43,15 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Recor
         yield cut(held)
 
 
-def block_pairs(late: DataFrame, item: str, block: int) -> DataFrame:
+def block_pairs(late: DataFrame, item: str, block: int, least: Column | None = None) -> DataFrame:
     """The rows (key, item, ...) of large buckets with x, y: each pair of blocks of about ``block`` items is a group.
 
     Every two items of a bucket meet in some group; a bucket of n items takes n * n / block rows. The groups of one
-    bucket are dealt to all tasks: left to the join, they would stay in the task of their key.
+    bucket are dealt to all tasks: left to the join, they would stay in the task of their key. ``least`` is an aggregate of
+    a bucket's rows that gives the blocks it has at least.
     """
-    blocks = late.groupBy("key").agg(F.ceil(F.count("*") / block).alias("n"))
+    n = F.count("*") / block
+    blocks = late.groupBy("key").agg(F.ceil(n if least is None else F.greatest(n, least)).alias("n"))
     dealt = late.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64(item), F.col("n")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     return dealt.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("n", "own", "other").repartition("key", "x", "y")

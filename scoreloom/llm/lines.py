@@ -30,9 +30,14 @@ BLOCK = 1024
 #: Cells of the table of lines by shingles that a task may hold; beyond, lines are compared set by set.
 DENSE_CELLS = 8_000_000
 CHUNK = 1 << 20
+#: Bytes of text that a task compares at once; larger buckets are compared block by block.
+BUCKET_BYTES = 8 << 20
 #: Lines that a task remembers, so that it gives each once; beyond, it may give some again.
 SEEN = 2_000_000
 
+#: Texts to (text index, 64-bit hash) of every shingle.
+Split = Callable[[list[str]], tuple["np.ndarray", "np.ndarray"]]
+
 
 def normal(line: str) -> str:
     """The line as compared; empty if it has no letter or digit."""
@@ -163,11 +168,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(emit, "lid long, line string")
 
 
-def _similar(lines: list[str], least: float) -> Callable[["np.ndarray", "np.ndarray"], "np.ndarray"]:
+def _similar(lines: list[str], least: float, split: Split = shingles) -> Callable[["np.ndarray", "np.ndarray"], "np.ndarray"]:
     """Exact Jaccard of shingle sets, as ``buckets.spread`` asks for it."""
     import numpy as np
 
-    line, h = shingles(lines)
+    line, h = split(lines)
     terms, column = np.unique(h, return_inverse=True)
     width, everywhere, size = len(terms), 0, None
     if len(lines) * width > DENSE_CELLS:
@@ -206,32 +211,34 @@ def _similar(lines: list[str], least: float) -> Callable[["np.ndarray", "np.ndar
     return linked
 
 
-def _forest(lid: "np.ndarray", lines: list[str], least: float) -> tuple["np.ndarray", "np.ndarray"]:
+def _forest(lid: "np.ndarray", lines: list[str], least: float, split: Split = shingles) -> tuple["np.ndarray", "np.ndarray"]:
     import numpy as np
 
-    label = buckets.spread(len(lid), _similar(lines, least))
+    label = buckets.spread(len(lid), _similar(lines, least, split))
     moved = label != np.arange(len(lid))
     return lid[moved], lid[label[moved]]
 
 
-def verified(found: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """u, v, late, line: forest edges of each bucket (key, lid, line); buckets over BLOCK go on as (key, lid, true, line)."""
+def verified(found: DataFrame, least: float = SIMILARITY, split: Split = shingles) -> DataFrame:
+    """u, v, late, line: forest edges of each bucket (key, lid, line); buckets over BLOCK or BUCKET_BYTES go on as (key, lid, true, line)."""
     block = BLOCK
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
+        import pyarrow.compute as pc
 
         names, going_on = ["u", "v", "late", "line"], None
         for whole, at in buckets.runs(batches, "key"):
             key = whole.column("key").to_numpy(zero_copy_only=False)
             lid = whole.column("lid").to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(pc.binary_length(whole.column("line")).to_numpy(zero_copy_only=False), dtype=np.int64)])
             us, vs = [], []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                if key[a] == going_on or b - a > block:
+                if key[a] == going_on or b - a > block or (b - a > 2 and ends[b] - ends[a] > BUCKET_BYTES):
                     going_on = key[a]
                     yield pa.RecordBatch.from_arrays([pa.array(key[a:b]), pa.array(lid[a:b]), pa.array([True] * (b - a)), whole.column("line").slice(a, b - a)], names=names)
                 elif b - a > 1:
-                    u, v = _forest(lid[a:b], whole.column("line").slice(a, b - a).to_pylist(), least)
+                    u, v = _forest(lid[a:b], whole.column("line").slice(a, b - a).to_pylist(), least, split)
                     us.append(u)
                     vs.append(v)
             if us:
@@ -241,15 +248,15 @@ def verified(found: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return found.repartition("key").sortWithinPartitions("key", "lid").mapInArrow(emit, "u long, v long, late boolean, line string")
 
 
-def late_links(late: DataFrame, least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+def late_links(late: DataFrame, least: float = SIMILARITY, block: int = BLOCK, split: Split = shingles) -> DataFrame:
     """u, v for the rows (key, lid, line) of large buckets: every pair of blocks is a group of its own."""
-    dealt = buckets.block_pairs(late, "lid", block)
+    dealt = buckets.block_pairs(late, "lid", block, F.sum(F.octet_length("line")) / BUCKET_BYTES)
 
     def link(table: pa.Table) -> pa.Table:
         import numpy as np
 
         lid, first = np.unique(table.column("lid").to_numpy(), return_index=True)
-        u, v = _forest(lid, table.column("line").take(pa.array(first)).to_pylist(), least)
+        u, v = _forest(lid, table.column("line").take(pa.array(first)).to_pylist(), least, split)
         return pa.table({"u": u, "v": v})
 
     return dealt.groupBy("key", "x", "y").applyInArrow(link, "u long, v long")
