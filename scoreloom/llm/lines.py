@@ -138,15 +138,17 @@ def candidates(keyed: DataFrame) -> DataFrame:
             key, lid = key[new], lid[new]
             edges = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
             sizes = np.diff(edges)
+            # Told by all rows: of a run that goes on, a batch may hold few lines, each from many tasks.
+            large = np.diff(at) > buckets.BLOCK
             keys, lids = [], []
-            pair = edges[:-1][(sizes == 2) & (key[edges[:-1]] != (going_on if going_on is not None else key[edges[:-1]] + 1))]
+            pair = edges[:-1][(sizes == 2) & ~large & (key[edges[:-1]] != (going_on if going_on is not None else key[edges[:-1]] + 1))]
             a, b = lid[pair].view(np.uint64), lid[pair + 1].view(np.uint64)
             both = ((a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
             keys += [both, both]
             lids += [lid[pair], lid[pair + 1]]
-            for i in np.flatnonzero((sizes > 2) | (key[edges[:-1]] == going_on)).tolist():
+            for i in np.flatnonzero((sizes > 2) | large | (key[edges[:-1]] == going_on)).tolist():
                 own = lid[edges[i] : edges[i + 1]]
-                if key[edges[i]] == going_on or len(own) > buckets.BLOCK:
+                if key[edges[i]] == going_on or large[i]:
                     going_on = key[edges[i]]
                     name = going_on  # a part of a bucket keeps the bucket's key
                 else:

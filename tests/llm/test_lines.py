@@ -83,3 +83,10 @@ def test_odd(odd_docs, no_docs):
     assert by_id[1].text is None and by_id[2].text == "" and by_id[4].n_removed == 0 and by_id[5].n_removed == 1 and by_id[None].n_removed == 0
     assert len(L.dedup_lines(odd_docs, drop_emptied=True).collect()) == 6
     assert L.dedup_lines(no_docs).collect() == []
+
+
+def test_bucket_of_few_lines_from_many_tasks(spark):
+    for lines in (60, 2):
+        keyed = spark.range(14400).selectExpr("7L AS key", f"id % {lines} AS lid")
+        found = L.candidates(keyed).collect()
+        assert len({r.key for r in found}) == 1 and {r.lid for r in found} == set(range(lines))
