@@ -4,7 +4,7 @@ Numbers and dates are validated (Luhn for cards, octets for addresses, ranges fo
 social-security numbers, the calendar for dates) and permuted within their own format by a keyed
 Feistel network over mixed radices, so that equal values stay linked across documents and every
 pseudonym is again a valid value. E-mail addresses have no fixed format; they get a keyed hash.
-What does not validate stays as it is.
+What does not validate stays as it is, but phone numbers with a +1 or parentheses: those out of range are permuted among themselves.
 
 Cases: null text is empty; repeated rows give equal rows; an empty table gives no rows; other
 columns are ignored; the text is read whole.
@@ -80,6 +80,7 @@ def halves(kind: Column, value: Column) -> Column:
     octet = lambda i: F.get(F.split(value, r"\."), F.lit(i)).try_cast("long")
     day = F.datediff(value.try_cast("date"), F.lit("1900-01-01").cast("date"))
     phone = F.substr(d, F.length(d) - 9, F.lit(10))
+    explicit = value.rlike(r"^\+|\(")
     area = _part(d, 1, 3)
     half = F.floor((F.length(d) - 1) / 2).cast("int")
     rest = F.length(d) - 1 - half
@@ -91,9 +92,11 @@ def halves(kind: Column, value: Column) -> Column:
         )
         .when(kind == "ip", of(octet(0) * 256 + octet(1), octet(2) * 256 + octet(3), 65536, 65536, F.greatest(*(octet(i) for i in range(4))) < 256))
         .when(
-            kind == "phone",
-            of(_part(phone, 1, 3) - 200, _part(phone, 4, 7) - 2_000_000, 800, 8_000_000, (_part(phone, 1, 1) >= 2) & (_part(phone, 4, 1) >= 2)),
+            (kind == "phone") & (_part(phone, 1, 1) >= 2) & (_part(phone, 4, 1) >= 2),
+            of(_part(phone, 1, 3) - 200, _part(phone, 4, 7) - 2_000_000, 800, 8_000_000, F.lit(True)),
         )
+        .when((kind == "phone") & (_part(phone, 1, 1) < 2), of(_part(phone, 1, 3), _part(phone, 4, 7), 200, 10_000_000, explicit))
+        .when(kind == "phone", of(_part(phone, 1, 3) - 200, _part(phone, 4, 7), 800, 2_000_000, explicit))
         .when(kind == "card", of(_part(d, 1, half), _part(d, half + 1, rest), _ten(half), _ten(rest), F.call_function("luhn_check", d)))
     )
 
@@ -110,19 +113,21 @@ def _padded(number: Column, width: int | Column) -> Column:
     return F.lpad(number.cast("string"), F.lit(width) if isinstance(width, int) else width, F.lit("0"))
 
 
-def written(kind: Column, value: Column, parts: Column) -> Column:
-    """The permuted halves in the format of ``value``."""
+def written(kind: Column, value: Column, parts: Column, was: Column) -> Column:
+    """The permuted halves in the format of ``value``, whose own halves are ``was``."""
     left, right = parts["left"], parts["right"]
     length = F.length(_digits(value))
     half = F.floor((length - 1) / 2).cast("int")
     area = F.when(left >= 665, left + 2).otherwise(left + 1)
+    # The least area code and number of the value's class of phone numbers, as ``halves`` tells them.
+    low = F.when(was["radix_left"] == 200, 0).otherwise(200), F.when(was["radix_right"] == 8_000_000, 2_000_000).otherwise(0)
     body = F.concat(_padded(left, half), _padded(right, length - 1 - half))
     checked = let(body, lambda b: F.concat(b, F.get(F.filter(F.sequence(F.lit(0), F.lit(9)), lambda c: F.call_function("luhn_check", F.concat(b, c.cast("string")))), F.lit(0)).cast("string")))
     return (
         F.when(kind == "date", F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), (left * DAYS[1] + right).cast("int")), "yyyy-MM-dd"))
         .when(kind == "ssn", F.concat_ws("-", _padded(area, 3), _padded(F.floor(right / 9999) + 1, 2), _padded(right % 9999 + 1, 4)))
         .when(kind == "ip", F.concat_ws(".", F.floor(left / 256), left % 256, F.floor(right / 256), right % 256))
-        .when(kind == "phone", _refill(value, F.concat((left + 200).cast("string"), (right + 2_000_000).cast("string"))))
+        .when(kind == "phone", _refill(value, F.concat(_padded(left + low[0], 3), _padded(right + low[1], 7))))
         .when(kind == "card", _refill(value, checked))
     )
 
@@ -132,7 +137,7 @@ def pseudonym(value: Column, key: str) -> Column:
 
     def of(kind: Column) -> Column:
         mail = F.concat(F.lit("u"), F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, 16), F.lit("@example.invalid"))
-        number = let(halves(kind, value), lambda h: F.when(h.isNotNull(), written(kind, value, feistel(h["left"], h["right"], h["radix_left"], h["radix_right"], key, F.concat_ws(":", kind, h["radix_left"], h["radix_right"])))))
+        number = let(halves(kind, value), lambda h: F.when(h.isNotNull(), written(kind, value, feistel(h["left"], h["right"], h["radix_left"], h["radix_right"], key, F.concat_ws(":", kind, h["radix_left"], h["radix_right"])), h)))
         return F.struct(kind.alias("kind"), F.when(kind == "email", mail).otherwise(number).alias("out"))
 
     return let(kind_of(value), of)

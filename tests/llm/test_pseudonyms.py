@@ -78,3 +78,11 @@ def test_documents(small_docs):
         assert not re.search(r"@mail\d+\.example\.com", r.text)
         for v in r["values"]:
             assert v.was not in r.text.split() or v.kind == "ip"
+
+
+def test_phones_out_of_range(spark):
+    texts = [f"+1 ({a}) {b}-7713" for a in ("017", "117", "217", "555") for b in ("055", "155", "255")] + ["(017) 555-7713", "017-555-7713"]
+    got = outcome(spark, texts)
+    new = [got[i].text for i in range(len(texts))]
+    assert all(a != b for a, b in zip(texts[:-1], new)) and new[-1] == texts[-1] and len(set(new[:12])) == 12
+    assert all(re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", x) for x in new[:12]) and new[12] == outcome(spark, ["+1 (017) 555-7713"])[0].text[3:]
