@@ -129,9 +129,11 @@ def scan_history(versions: DataFrame, ledger_dir: str, rules: tuple[Rule, ...] =
         blobs = blobs.withColumn("missing", keys)
     scanned = find(blobs, rules).select("blob", F.col("missing").alias("rules"), "spans")
     scanned.write.mode("append").parquet(ledger_dir)
+    of_kind = F.create_map(*(F.lit(x) for r in rules for x in (r.kind, r.key)))
     ranks = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))))
-    current = spark.read.schema(LEDGER).parquet(ledger_dir).where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s"))
-    current = current.where(F.col("s.kind").isin([r.kind for r in rules]))
+    current = spark.read.schema(LEDGER).parquet(ledger_dir).where(F.size("spans") > 0).select("blob", "rules", F.explode("spans").alias("s"))
+    # A row's findings are those of its rule versions; what an older version of a rule found is left out.
+    current = current.where(F.array_contains("rules", of_kind[F.col("s.kind")]))
     span = F.struct(F.col("s.start").alias("start"), ranks[F.col("s.kind")].alias("rank"), F.col("s.kind").alias("kind"), F.col("s.stop").alias("stop"))
     # Stored, since adaptive execution splits a hot blob's paths only where both sides come straight from a shuffle.
     findings = _shared.stored(current.groupBy("blob").agg(F.array_sort(F.collect_set(span)).alias("spans")), "findings")

@@ -54,3 +54,10 @@ def test_odd(odd_docs, no_docs, tmp_path):
     found = X.scan_history(odd_docs.withColumnRenamed("doc_id", "path"), str(tmp_path / "a")).collect()
     assert len(found) == 8 and not any(r.spans for r in found)
     assert X.scan_history(no_docs.withColumnRenamed("doc_id", "path"), str(tmp_path / "b")).collect() == []
+
+
+def test_newer_version_replaces_findings(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "12345 abcde")], "path long, text string")
+    X.scan_history(docs, str(tmp_path / "l"), (*X.BASE, X.Rule("run", r"[0-9]{5}")))
+    (r,) = X.scan_history(docs, str(tmp_path / "l"), (*X.BASE, X.Rule("run", r"[a-z]{5}", version=2))).collect()
+    assert [(s.start, s.stop) for s in r.spans] == [(6, 11)]
