@@ -102,11 +102,23 @@ def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple[b
         start = stop
 
 
+def _compact_sizes(view: memoryview, body: int) -> list[int]:
+    """The sizes of an stz2 box: fields of 4, 8 or 16 bits."""
+    bits, n = struct.unpack_from(">BI", view, body + 7)
+    if bits == 4:
+        return [x for b in struct.unpack_from(f">{(n + 1) // 2}B", view, body + 12) for x in (b >> 4, b & 15)][:n]
+    if bits not in (8, 16):
+        raise ValueError(f"sample sizes of {bits} bits")
+    return list(struct.unpack_from(f">{n}{'B' if bits == 8 else 'H'}", view, body + 12))
+
+
 def demux(data: bytes) -> list[Track]:
     """The tracks of a file, from its sample tables."""
     view = memoryview(data)
     found: list[dict[bytes, tuple[int, int]]] = []
     for path, body, end in walk(view):
+        if path[-1] in (b"moof", b"mvex"):
+            raise ValueError("a fragmented file; its samples are not in the sample tables")
         if path[-1] == b"trak":
             found.append({})
         elif b"trak" in path:
@@ -120,9 +132,13 @@ def demux(data: bytes) -> list[Track]:
         body, _ = boxes[b"stsd"]
         track.codec = bytes(view[body + 12 : body + 16]).decode("latin-1")
         track.width, track.height = struct.unpack_from(">HH", view, body + 40)
-        body, _ = boxes[b"stsz"]
-        size, n = struct.unpack_from(">II", view, body + 4)
-        track.sizes = [size] * n if size else list(struct.unpack_from(f">{n}I", view, body + 12))
+        if b"stsz" in boxes:
+            body, _ = boxes[b"stsz"]
+            size, n = struct.unpack_from(">II", view, body + 4)
+            track.sizes = [size] * n if size else list(struct.unpack_from(f">{n}I", view, body + 12))
+        else:
+            body, _ = boxes[b"stz2"]
+            track.sizes = _compact_sizes(view, body)
         if b"stss" in boxes:
             body, _ = boxes[b"stss"]
             (k,) = struct.unpack_from(">I", view, body + 4)
@@ -182,5 +198,36 @@ def media_columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(store, SCHEMA)
 
 
+TRACKS = "array<struct<codec:string,timescale:long,duration:long,width:int,height:int,key_ranges:array<struct<first:long,bytes:long>>>>"
+
+
+def media_files(files: DataFrame, key: str, media: str) -> DataFrame:
+    """``key``, ``media`` (the bytes as they are), ``tracks``, and ``error`` where a file cannot be read; null bytes have neither."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("codec", pa.string()), ("timescale", pa.int64()), ("duration", pa.int64()), ("width", pa.int32()), ("height", pa.int32()), ("key_ranges", pa.list_(pa.struct([("first", pa.int64()), ("bytes", pa.int64())])))]))
+        for batch in _shared.by_bytes(batches, media):
+            tracks, errors = [], []
+            for data in batch.column(media).to_pylist():
+                found, error = None, None
+                if data is not None:
+                    try:
+                        found = [
+                            {"codec": t.codec, "timescale": t.timescale, "duration": t.duration, "width": t.width, "height": t.height, "key_ranges": [{"first": a, "bytes": n} for a, n in t.key_ranges()]}
+                            for t in demux(data)
+                        ]
+                    except (ValueError, LookupError, struct.error) as e:
+                        error = f"{type(e).__name__}: {e}"
+                tracks.append(found)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tracks, kind), pa.array(errors, pa.string())], names=[*batch.schema.names, "tracks", "error"])
+
+    own = files.select(key, media)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
+    return own.mapInArrow(read, f"{kinds}, tracks {TRACKS}, error string")
+
+
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_columns(_shared.documents(spark, sf_dir)).drop("key_ranges")
+    found = media_columns(_shared.documents(spark, sf_dir))
+    ranges = F.array_join(F.transform("key_ranges", lambda r: F.concat_ws(":", r["first"], r["bytes"])), ",")
+    return found.withColumn("key_ranges", ranges)

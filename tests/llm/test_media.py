@@ -38,3 +38,24 @@ def test_rows(small_docs, odd_docs, no_docs):
             assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
             stored = media.mux(payload)
             assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+
+
+def test_files(spark):
+    good = media.mux(bytes(media.FRAME * 13))
+    files = [(1, good), (2, good + media._box(b"moof")), (3, good[: len(good) - 40]), (4, None), (5, b"")]
+    rows = {r.id: r for r in media.media_files(spark.createDataFrame(files, "id long, file binary"), "id", "file").collect()}
+    (track,) = rows[1].tracks
+    assert [(r.first, r.bytes) for r in track.key_ranges] == media.demux(good)[0].key_ranges() and bytes(rows[1].file) == good and rows[1].error is None
+    assert rows[2].tracks is None and "fragmented" in rows[2].error and rows[3].tracks is None and rows[3].error
+    assert rows[4].tracks is None and rows[4].error is None and rows[5].tracks == []
+
+
+def test_compact_sizes():
+    for bits, raw in ((4, b"\x12\x30"), (8, b"\1\2\3"), (16, b"\0\1\0\2\0\3")):
+        body = bytes(7) + bytes([bits]) + (3).to_bytes(4, "big") + raw
+        assert media._compact_sizes(memoryview(body), 0) == [1, 2, 3]
+
+
+def test_query_keeps_key_ranges(spark):
+    (r,) = media.op10_media_columns(spark, "/root/testdata/sf0.001").orderBy("doc_id").limit(1).collect()
+    assert all(len(x.split(":")) == 2 for x in r.key_ranges.split(","))
