@@ -455,7 +455,7 @@ def ridge_fit(spark, sf_dir):
 
 def _rated(spark, sf_dir) -> DataFrame:
     """A collection of the size that the models are meant for: the labelled documents, structural features, four ratings."""
-    names = structural.NAMES[:14]
+    names = structural.NAMES
     labels = table(spark, sf_dir, "labels")
     f = structural.structural(cleaned(spark, sf_dir), ("doc_id", "split")).join(labels, "doc_id")
     rated = {t: (1 + F.pmod(F.col("doc_id") + i, F.lit(3)) + 2 * F.col("quality")).cast("long") for i, t in enumerate(models.TARGETS)}
@@ -469,10 +469,15 @@ def grid_results(spark, sf_dir):
 
 @query("svr_fit")
 def svr_fit(spark, sf_dir):
-    params = models.parameters("linear_svr")[0] | {"C": 0.1, "max_iter": 50}
+    params = models.parameters("linear_svr")[0]
     return rounded(models.metrics(models.fit_and_predict(_rated(spark, sf_dir), "linear_svr", [params]), "target"))
 
 
+@query("svr_grid_results")
+def svr_grid_results(spark, sf_dir):
+    return rounded(models.metrics(models.fit_and_predict(_rated(spark, sf_dir), "linear_svr", models.grid("linear_svr")), "point", "target"))
+
+
 @query("word2vec_docs")
 def word2vec_docs(spark, sf_dir):
     own = plain(spark, sf_dir)
