@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from . import _shared
 
 CAPACITY = 2048
-SALTS = 64
+#: Pieces of one length that a task ranks at once.
+SALT_ROWS = 1_000_000
 #: Parts of words in each of the two generations that a Python worker keeps with their ids.
 CACHE_WORDS = 150_000
 #: Bytes of text encoded at once.
@@ -165,18 +166,19 @@ def tokenize(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Slots (length, first rank, last rank + 1, first sequence, offset) by best-fit decreasing.
+def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
+    """Slots (length, first rank, last rank + 1, first sequence, offset, pieces in each sequence) by best-fit decreasing.
 
-    Sequences with the same room are runs of consecutive numbers, so one step places as many
-    pieces as such a run holds.
+    Best fit puts a piece into the sequence with the least room that holds it, so pieces of one length fill a
+    sequence before they go to the next. Sequences with the same room are runs of consecutive numbers, and one step
+    fills such a run.
     """
     room: dict[int, list[tuple[int, int]]] = defaultdict(list)
     rooms: list[int] = []
     slots, following = [], 0
 
     def put(left: int, first: int, n: int) -> None:
-        if left:
+        if left and n:
             if not room[left]:
                 bisect.insort(rooms, left)
             room[left].append((first, n))
@@ -190,42 +192,68 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
                 first, n = room[left].pop()
                 if not room[left]:
                     rooms.pop(i)
-                take = min(n, rest)
-                if take < n:
-                    put(left, first + take, n - take)
             else:
-                # New sequences: each takes as many pieces of this length as it holds.
-                left, first = capacity, following
-                take = -(-rest // (capacity // length))
-                following += take
-            slots.append((length, rank, rank + take, first, capacity - left))
-            put(left - length, first, take)
-            rank, rest = rank + take, rest - take
+                left, first, n = capacity, following, -(-rest // (capacity // length))
+                following += n
+            each = left // length
+            full = min(n, rest // each)
+            part = min(rest - full * each, each) if full < n else 0
+            if full:
+                slots.append((length, rank, rank + full * each, first, capacity - left, each))
+                put(left - each * length, first, full)
+            if part:
+                slots.append((length, rank + full * each, rank + full * each + part, first + full, capacity - left, part))
+                put(left - part * length, first + full, 1)
+            held = full + (part > 0)
+            put(left, first + held, n - held)
+            rank, rest = rank + full * each + part, rest - full * each - part
     return slots
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
-    """``pieces`` (stored: it is read several times) with sequence_id and offset."""
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
+    """Slots (length, first rank, last rank + 1, first sequence, offset), each of one piece in every sequence of a run."""
+    out = []
+    for length, first, last, sequence, offset, each in plan_runs(counts, capacity):
+        n = (last - first) // each
+        out += [(length, first + j * n, first + (j + 1) * n, sequence, offset + j * length) for j in range(each)]
+    return out
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """``pieces`` with sequence_id and offset. They are stored first, with the numbers that deal each length out to tasks."""
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
-    by_salt = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
+    pieces = _shared.stored(pieces.withColumn("_at", F.monotonically_increasing_id()), "pieces")
     # At most capacity rows reach the driver: one for each length.
-    counts = {int(r["length"]): int(r["n"]) for r in by_salt.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    slots = spark.createDataFrame(plan(counts, capacity), "length long, _first long, _last long, _sequence long, _offset long")
+    counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # A full piece is a sequence of its own and needs no place in the plan.
+    full = counts.pop(capacity, 0)
+    slots = plan_runs(counts, capacity)
+    planned = max((s[3] + (s[2] - s[1]) // s[5] for s in slots), default=0)
+    cells = ("doc_id", "piece", "start", "length", "ids_crc32")
+    whole = pieces.where(F.col("length") == capacity).select(*cells, (F.col("_at") + planned).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    if not counts:
+        return whole
+    salts = spark.createDataFrame([(n, -(-k // salt_rows)) for n, k in counts.items()], "length long, _salts long")
+    # At most capacity rows.
+    salted = pieces.where(F.col("length") < capacity).join(F.broadcast(salts), "length").withColumn("_salt", F.pmod(F.xxhash64("_at"), F.col("_salts")))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    by_salt = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     bases = by_salt.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_salt").orderBy("_at")
+    # A row for each length, and one for every SALT_ROWS pieces: 50,000 at 50 billion pieces.
     ranked = salted.withColumn("_row", F.row_number().over(within) - 1).join(F.broadcast(bases), ["length", "_salt"])
     ranked = ranked.withColumn("_rank", F.col("_base") + F.col("_row"))
-    # Lengths times salts, and a few slots for each length: both sides stay below a few hundred thousand rows at any corpus size.
-    fits = (ranked["length"] == slots["length"]) & (ranked["_rank"] >= slots["_first"]) & (ranked["_rank"] < slots["_last"])
-    placed = ranked.join(F.broadcast(slots), fits)
-    return placed.select(
-        ranked["doc_id"], "piece", "start", ranked["length"], "ids_crc32",
-        (F.col("_sequence") + F.col("_rank") - F.col("_first")).alias("sequence_id"), F.col("_offset").alias("offset"),
+    # A few slots for each length, whatever the corpus: as many as there are different rooms.
+    table = spark.createDataFrame(slots, "length long, _first long, _last long, _sequence long, _offset long, _each long")
+    fits = (ranked["length"] == table["length"]) & (ranked["_rank"] >= table["_first"]) & (ranked["_rank"] < table["_last"])
+    nth = F.col("_rank") - F.col("_first")
+    # Ranks run along the sequences first, as in ``plan``.
+    run = F.floor((F.col("_last") - F.col("_first")) / F.col("_each"))
+    placed = ranked.join(F.broadcast(table), fits).select(
+        "doc_id", "piece", "start", ranked["length"], "ids_crc32", (F.col("_sequence") + nth % run).alias("sequence_id"), (F.col("_offset") + F.floor(nth / run) * ranked["length"]).alias("offset")
     )
+    return placed.unionByName(whole) if full else placed
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = _shared.stored(tokenize(_shared.documents(spark, sf_dir)), "pieces")
-    return pack(pieces)
+    return pack(tokenize(_shared.documents(spark, sf_dir)))
