@@ -159,8 +159,7 @@ def links(keyed: DataFrame) -> DataFrame:
 
 
 def late_links(late: DataFrame, block: int = buckets.BLOCK) -> DataFrame:
-    """u, v for the rows (key, fp) of large buckets: every pair of blocks is a group of its own."""
-    dealt = buckets.block_pairs(late, "fp", block)
+    """u, v for the rows (key, fp) of large buckets, block against block."""
 
     def link(table: pa.Table) -> pa.Table:
         import numpy as np
@@ -172,18 +171,19 @@ def late_links(late: DataFrame, block: int = buckets.BLOCK) -> DataFrame:
         moved = label != np.arange(len(own))
         return pa.table({"u": own[moved].view(np.int64), "v": own[label[moved]].view(np.int64)})
 
-    return dealt.groupBy("key", "x", "y").applyInArrow(link, "u long, v long")
+    return buckets.large_links(late, "fp", block, link)
 
 
 def near_classes(fps: DataFrame) -> DataFrame:
     """fp, root for each distinct fingerprint of ``fps`` (fp) that is linked with a lesser one."""
-    distinct = fps.select("fp").distinct()
+    # Dealt out again: 64 keys are made of each fingerprint, and adaptive execution sees only the few bytes before that.
+    distinct = fps.select("fp").distinct().repartition("fp")
     keyed = keys(distinct).repartition("key").sortWithinPartitions("key")
     found = _shared.stored(links(keyed), "links")
     edges = found.where("not late").select("u", "v")
     late = found.where("late").select(F.col("u").alias("key"), F.col("v").alias("fp"))
     if late.take(1):
-        edges = edges.unionByName(late_links(late))
+        edges = edges.unionByName(late_links(_shared.stored(late, "late")))
     return components.components(edges).withColumnRenamed("node", "fp")
 
 

@@ -52,7 +52,7 @@ def corpus(seed, n=60):
 
 
 def removed(df, rows):
-    got = {r._id: set(r._gone) for r in L.removals(df).collect()}
+    got = {r._id: set(r._gone) for r in L.removals(df)[0].collect()}
     return {(d, i) for d, g in got.items() for i in g}
 
 
@@ -76,6 +76,36 @@ def test_large_buckets(spark):
     assert all(roots.get(i, i) == 0 for i in range(60)) and all(i not in roots for i in range(100, 120))
 
 
+def test_large_buckets_against_all_pairs(spark):
+    """Several buckets of many small classes, chains and lone lines give the classes that all pairs give."""
+    rng = random.Random(8)
+    late = []
+    for key in range(3):
+        lines = []
+        for _ in range(12):
+            line = "".join(rng.choices("abcdefghij ", k=120))
+            for _ in range(rng.choice([1, 2, 9])):
+                lines.append(line)
+                i = rng.randrange(len(line))
+                line = line[:i] + rng.choice("klm") + line[i + 1 :]
+        late += [(key, 1000 * key + i, x) for i, x in enumerate(rng.sample(lines, len(lines)))]
+    edges = L.late_links(spark.createDataFrame(late, "key long, lid long, line string"), block=7)
+    got = {r.node: r.root for r in L.components.components(edges).collect()}
+    root = {lid: lid for _, lid, _ in late}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (k, a, x) in enumerate(late):
+        for q, b, y in late[i + 1 :]:
+            if k == q and jaccard(x, y) >= 0.8:
+                c, d = find(a), find(b)
+                root[max(c, d)] = min(c, d)
+    assert {lid: got.get(lid, lid) for _, lid, _ in late} == {lid: find(lid) for _, lid, _ in late}
+
+
 def test_odd(odd_docs, no_docs):
     rows = L.dedup_lines(odd_docs).collect()
     assert len(rows) == 8 and set(odd_docs.columns) <= set(rows[0].asDict())
@@ -85,6 +115,32 @@ def test_odd(odd_docs, no_docs):
     assert L.dedup_lines(no_docs).collect() == []
 
 
+def test_repeated_rows(spark):
+    """Of rows with one id and text one keeps each line, whatever the id, and copies of a later document keep none."""
+    text = "first line here of some words\n--\n\nsecond line of other words\nfirst line here of some words"
+    rows = [(1, text), (1, text), (1, text), (None, "a third line of its own"), (None, "a third line of its own"), (2, text), (2, text), (1, "another text under id one"), (3, None), (3, None)]
+    found = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    first, empty = "first line here of some words\n--\n\nsecond line of other words", "--\n"
+    want = [(1, first, 1), (1, empty, 3), (1, empty, 3), (2, empty, 3), (2, empty, 3), (None, "a third line of its own", 0), (None, "", 1), (1, "another text under id one", 0), (3, None, 0), (3, None, 0)]
+    assert sorted(((r.doc_id, r.text, r.n_removed) for r in found.collect()), key=str) == sorted(want, key=str)
+    assert L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), drop_emptied=True).count() == 5
+
+
+def test_band_recall():
+    """Pairs at 0.8 and more share a band with a probability of 0.99 or more, at all lengths."""
+    rng = random.Random(3)
+    for n in (12, 40, 100, 400):
+        pairs = []
+        while len(pairs) < 300:
+            a = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz     ", k=n))
+            cut = rng.randint(0, max(1, n // 9))
+            b = a[cut:] if rng.random() < 0.5 else a[: n - cut] + "".join(rng.choices("xyz", k=rng.randint(0, 2)))
+            if a.strip() and b.strip() and 0.8 <= jaccard(a, b) < 0.9:
+                pairs.append((a, b))
+        keys = [L.band_keys([p[i] for p in pairs]) for i in (0, 1)]
+        assert (keys[0] == keys[1]).any(axis=1).mean() >= 0.97
+
+
 def test_bucket_of_few_lines_from_many_tasks(spark):
     for lines in (60, 2):
         keyed = spark.range(14400).selectExpr("7L AS key", f"id % {lines} AS lid")

@@ -85,7 +85,9 @@ def test_large_buckets(spark):
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(rng.randint(2000, 2300), rng.randint(2000, 2300)) for _ in range(150)]
-    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    table = spark.createDataFrame(edges, "u long, v long")
+    got = {r.node: r.root for r in components.components(table).collect()}
+    assert got == {r.node: r.root for r in components.components(table, few=0).collect()}
     root = {}
 
     def find(x):
