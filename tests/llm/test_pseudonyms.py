@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from datetime import date, timedelta
 
 from scoreloom.llm import pseudonyms as P
@@ -86,3 +87,14 @@ def test_phones_out_of_range(spark):
     new = [got[i].text for i in range(len(texts))]
     assert all(a != b for a, b in zip(texts[:-1], new)) and new[-1] == texts[-1] and len(set(new[:12])) == 12
     assert all(re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", x) for x in new[:12]) and new[12] == outcome(spark, ["+1 (017) 555-7713"])[0].text[3:]
+
+
+def test_long_texts_end_soon(spark):
+    """Hosts of very many labels, long words and very many values."""
+    texts = ["a@" + "b." * 20_000 + "com", "x" * 1_000_000, "a@" + "b-" * 500_000, "a@" * 300_000, "1.2." * 200_000, "10.0.0.1 " * 2000, "5" * 900_000, "a@" + "b" * 500_000 + ".c"]
+    began = time.monotonic()
+    got = outcome(spark, texts)
+    assert time.monotonic() - began < 90
+    assert all(re.fullmatch(r"u[0-9a-f]{16}@example.invalid", got[i].text) for i in (0, 7)) and [got[i].text for i in (1, 2, 3, 4, 6)] == [texts[i] for i in (1, 2, 3, 4, 6)]
+    new = set(got[5].text.split())
+    assert len(got[5].text.split()) == 2000 and len(new) == 1 and "10.0.0.1" not in new
