@@ -41,7 +41,8 @@ def components(edges: DataFrame, few: int = FEW) -> DataFrame:
     sign, n = None, edges.count()
     while True:
         large = _large(edges, n > few).distinct()
-        edges = _shared.stored(_small(_shared.stored(large, "large") if n > few else large, n > few).distinct(), "edges")
+        before, edges = edges, _shared.stored(_small(_shared.stored(large, "large") if n > few else large, n > few).distinct(), "edges")
+        _shared.dropped(before)
         new = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if new == sign or new[0] == 0:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -19,10 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _shared
+from ._shared import SMALL_ROWS, bounded
 
 WINDOW = 10
-#: Rows, and bytes of their text, that are broadcast at most; what is larger is joined by shuffles.
-SMALL_ROWS, SMALL_BYTES = 500_000, 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words, of lower-cased text.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,12 +34,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, BETWEEN), "")
 
 
-def bounded(frame: DataFrame, text: str | None = None, rows: int = SMALL_ROWS) -> DataFrame:
-    """``frame`` (stored), to be broadcast if its rows and the bytes of ``text`` are few; as it is if not."""
-    size = frame.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)) if text else F.lit(0), F.lit(0))).first()
-    return F.broadcast(frame) if size[0] <= rows and size[1] <= SMALL_BYTES else frame
-
-
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """item_id, words: each run of ``size`` words; shorter items whole."""
     held = items.select("item_id", words(_shared.whole_text()).alias("w")).where(F.size("w") > 0)

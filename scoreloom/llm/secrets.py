@@ -25,7 +25,8 @@ class Rule:
     """Leftmost non-overlapping matches of ``pattern`` whose ``group`` has ``least`` characters or more.
 
     ``hints`` are strings of which each match holds one, in lower case where ``any_case``; a
-    text without them isn't searched. No hints: ``near`` is a pattern that is cheap to look for.
+    text without them isn't searched. ``linear`` finds the same in linear time, as group 1 at the end of its matches,
+    where ``pattern`` would start anew at each place of a long run.
     """
 
     kind: str
@@ -35,6 +36,7 @@ class Rule:
     hints: tuple[str, ...] = ()
     any_case: bool = False
     version: int = 1
+    linear: str = ""
 
     @property
     def key(self) -> str:
@@ -49,12 +51,17 @@ BASE = (
     Rule("hex", r"[0-9a-f]{16,}"),
 )
 MORE = (
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", hints=("eyJ",)),
+    Rule(
+        "jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", hints=("eyJ",),
+        linear=r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++)",
+    ),
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", hints=("PRIVATE KEY",)),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/@]{1,64}@", hints=("://",)),
 )
 RULES = BASE + MORE
+#: Pieces of a text that are taken into one list.
+PIECES = 512
 SPAN = "struct<start:bigint,rank:int,kind:string,stop:bigint>"
 
 
@@ -74,14 +81,26 @@ def _step(i: int, rule: Rule):
     def step(acc: Column, z: Column) -> Column:
         start = acc["at"] + F.char_length(z["0"])
         stop = start + F.char_length(z["1"])
-        span = F.struct(start.alias("start"), F.lit(i).alias("rank"), F.lit(rule.kind).alias("kind"), stop.alias("stop"))
-        kept = z["1"].isNotNull() & (F.char_length(z["2" if rule.group else "1"]) >= rule.least)
+        begin = stop - F.char_length(z["2"]) if rule.linear else start
+        span = F.struct(begin.alias("start"), F.lit(i).alias("rank"), F.lit(rule.kind).alias("kind"), stop.alias("stop"))
+        kept = z["1"].isNotNull() & (F.char_length(z["2" if rule.group or rule.linear else "1"]) >= rule.least)
         spans = F.when(kept, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
         return F.struct(F.coalesce(stop, start).cast("long").alias("at"), spans.cast(f"array<{SPAN}>").alias("spans"))
 
     return step
 
 
+def _spans(i: int, rule: Rule, parts: Column) -> Column:
+    """The spans of all pieces and matches. Lists grow within chunks only, so that a text with very many matches takes no quadratic time."""
+    none = F.array().cast(f"array<{SPAN}>")
+    chunk = lambda c: F.slice(parts, c * PIECES + 1, F.lit(PIECES))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / PIECES).cast("int")), chunk)
+    width = lambda ch: F.aggregate(ch, F.lit(0).cast("long"), lambda n, z: n + F.char_length(z["0"]) + F.coalesce(F.char_length(z["1"]), F.lit(0)))
+    bases = lambda chs: F.aggregate(chs, F.array(F.lit(0).cast("long")), lambda acc, ch: F.concat(acc, F.array(F.element_at(acc, -1) + width(ch))))
+    within = lambda ch, at: F.aggregate(ch, F.struct(at.alias("at"), none.alias("spans")), _step(i, rule))["spans"]
+    return _shared.let(chunks, lambda chs: _shared.let(bases(chs), lambda at: F.flatten(F.transform(chs, lambda ch, j: within(ch, F.get(at, j))))))
+
+
 def find(blobs: DataFrame, rules: tuple[Rule, ...], text: str = "text", missing: str = "missing") -> DataFrame:
     """``blobs`` with ``spans``: what the rules named in ``missing`` find, in code points, ends exclusive.
 
@@ -92,17 +111,16 @@ def find(blobs: DataFrame, rules: tuple[Rule, ...], text: str = "text", missing:
     for i, r in enumerate(rules):
         out = out.withColumn(f"_go{i}", F.array_contains(missing, r.key) & _hinted(r, t, F.col("_low")))
     for i, r in enumerate(rules):
-        go, pattern = F.col(f"_go{i}"), F.lit(r.pattern)
-        pieces = [F.split(t, r.pattern, -1).alias("a"), F.regexp_extract_all(t, pattern, F.lit(0)).alias("m")]
-        if r.group:
-            pieces.append(F.regexp_extract_all(t, pattern, F.lit(r.group)).alias("v"))
+        go, pattern, group = F.col(f"_go{i}"), r.linear or r.pattern, 1 if r.linear else r.group
+        pieces = [F.split(t, pattern, -1).alias("a"), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("m")]
+        if group:
+            pieces.append(F.regexp_extract_all(t, F.lit(pattern), F.lit(group)).alias("v"))
         out = out.withColumn(f"_parts{i}", F.when(go, F.arrays_zip(*pieces)))
     each = []
     for i, r in enumerate(rules):
-        names = ["0", "1", "2"][: 3 if r.group else 2]
+        names = ["0", "1", "2"][: 3 if r.group or r.linear else 2]
         zipped = F.col(f"_parts{i}").cast("array<struct<" + ",".join(f"`{n}`:string" for n in names) + ">>")
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-        each.append(F.coalesce(F.aggregate(zipped, start, _step(i, r))["spans"], F.array().cast(f"array<{SPAN}>")))
+        each.append(F.coalesce(F.when(F.col(f"_go{i}"), _spans(i, r, zipped)), F.array().cast(f"array<{SPAN}>")))
     spans = F.array_sort(F.flatten(F.array(*each)))
     extra = ["_low", *(f"_{n}{i}" for i in range(len(rules)) for n in ("go", "parts"))]
     return out.withColumn("spans", spans).drop(*extra)
@@ -111,22 +129,26 @@ def find(blobs: DataFrame, rules: tuple[Rule, ...], text: str = "text", missing:
 LEDGER = f"blob string, rules array<string>, spans array<{SPAN}>"
 
 
-def scan_history(versions: DataFrame, ledger_dir: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scan_history(versions: DataFrame, ledger_dir: str, rules: tuple[Rule, ...] = RULES, rows: int = _shared.SMALL_ROWS) -> DataFrame:
     """``versions`` (path, text; a row for each path and version) with ``blob`` and its ``spans``.
 
     Scans the blob and rule-version pairs that the ledger in ``ledger_dir`` lacks, and appends them to it.
+    ``rows``: the new digests that are broadcast at most.
     """
     spark = versions.sparkSession
     keys = F.array(*(F.lit(r.key) for r in rules))
     addressed = versions.select("path", _shared.whole_text().alias("text")).withColumn("blob", F.sha2("text", 256))
-    blobs = addressed.select("blob", "text").groupBy("blob").agg(F.first("text").alias("text"))
     if _shared.path_exists(spark, ledger_dir):
         seen = spark.read.schema(LEDGER).parquet(ledger_dir)
         done = seen.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("_done"))
         missing = F.array_except(keys, F.coalesce("_done", F.array().cast("array<string>")))
-        blobs = blobs.join(done, "blob", "left").select("blob", "text", missing.alias("missing")).where(F.size("missing") > 0)
+        # Digests are compared first; where few are new, no other text is shuffled.
+        new = addressed.select("blob").distinct().join(done, "blob", "left").select("blob", missing.alias("missing")).where(F.size("missing") > 0)
+        new = _shared.bounded(_shared.stored(new, "unseen"), "blob", rows)
+        texts = addressed.select("blob", "text").join(new.select("blob"), "blob", "left_semi").groupBy("blob").agg(F.first("text").alias("text"))
+        blobs = texts.join(new, "blob")
     else:
-        blobs = blobs.withColumn("missing", keys)
+        blobs = addressed.select("blob", "text").groupBy("blob").agg(F.first("text").alias("text")).withColumn("missing", keys)
     scanned = find(blobs, rules).select("blob", F.col("missing").alias("rules"), "spans")
     scanned.write.mode("append").parquet(ledger_dir)
     of_kind = F.create_map(*(F.lit(x) for r in rules for x in (r.kind, r.key)))
