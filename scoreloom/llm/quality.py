@@ -7,8 +7,9 @@ five-byte grams that a text has, in lower case, and a few bucketed shape statist
 
 The model is fitted on at most SAMPLE labelled documents, the first by a hash of their ids; every
 document is scored whole. Cases: null text is empty; documents without a label are scored like
-others; several labels of one document take the least; without labels every document is kept; repeated
-rows each get a row; an empty table gives no rows; other columns are ignored.
+others; several labels of one document take the least, several texts of one the least by a hash; labels without
+a document are left out; without labels every document is kept; repeated rows each get a row; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -82,6 +83,18 @@ def summed(index: "np.ndarray", values: "np.ndarray", at: "np.ndarray", n: int)
     return out
 
 
+def slopes(score: "np.ndarray", cut: "np.ndarray", grades: "np.ndarray") -> tuple["np.ndarray", "np.ndarray"]:
+    """The derivatives of the mean negative log-likelihood by each row's score and by each threshold."""
+    import numpy as np
+
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+    edges = np.concatenate([[-np.inf], cut, [np.inf]])
+    a, b = sigmoid(edges[grades + 1] - score), sigmoid(edges[grades] - score)
+    p = np.maximum(a - b, 1e-9)
+    by_cut = [np.sum((b * (1 - b) / p)[grades == k + 1]) - np.sum((a * (1 - a) / p)[grades == k]) for k in range(len(cut))]
+    return (1 - a - b) / len(score), np.array(by_cut) / len(score)
+
+
 def fit(rows: list["np.ndarray"], grades: "np.ndarray", n_grades: int = 3, bits: int = BITS, rounds: int = ROUNDS, rate: float = RATE, l1: float = L1) -> Ordinal:
     """Maximum likelihood with an L1 penalty, by full-batch proximal AdaGrad; the same rows give the same model."""
     import numpy as np
@@ -102,19 +115,11 @@ def fit(rows: list["np.ndarray"], grades: "np.ndarray", n_grades: int = 3, bits:
     cut = np.log(share / (1 - share))
     cut += 1e-3 * np.arange(len(cut))
     held_w, held_cut = np.full(len(used), 1e-8), np.full(len(cut), 1e-8)
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-    n = len(rows)
     for _ in range(rounds):
-        score = summed(row, w, column, n)
-        edges = np.concatenate([[-np.inf], cut, [np.inf]])
-        a, b = sigmoid(edges[grades + 1] - score), sigmoid(edges[grades] - score)
-        p = np.maximum(a - b, 1e-9)
-        pull = 1 - a - b
-        gradient = summed(column, pull, row, len(used)) / n
-        for k in range(len(cut)):
-            g = (np.sum((b * (1 - b) / p)[grades == k + 1]) - np.sum((a * (1 - a) / p)[grades == k])) / n
-            held_cut[k] += g * g
-            cut[k] -= rate * g / np.sqrt(held_cut[k])
+        pull, by_cut = slopes(summed(row, w, column, len(rows)), cut, grades)
+        gradient = summed(column, pull, row, len(used))
+        held_cut += by_cut * by_cut
+        cut = cut - rate * by_cut / np.sqrt(held_cut)
         cut = np.maximum.accumulate(cut + 1e-6 * np.arange(len(cut)))
         held_w += gradient * gradient
         step = rate / np.sqrt(held_w)
@@ -125,10 +130,12 @@ def fit(rows: list["np.ndarray"], grades: "np.ndarray", n_grades: int = 3, bits:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, grade, idx for at most ``sample`` labelled documents."""
+    """doc_id, grade, idx for at most ``sample`` labelled documents, a row for each."""
     grade = F.when(F.col("toxic") > 0, 0).when(F.col("quality") > 0, 2).otherwise(1)
     graded = labels.where("doc_id is not null and (toxic is not null or quality is not null)").groupBy("doc_id").agg(F.min(grade).alias("grade"))
-    graded = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # Labels whose document is absent take no place in the sample.
+    present = graded.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    graded = _shared.stored(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "graded")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _shared.by_bytes(batches, "text"):
@@ -136,8 +143,10 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(idx, pa.list_(pa.int32()))], names=["doc_id", "grade", "idx"])
 
     # The sample is bounded by a parameter, so its ids can go to every task.
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(graded), "doc_id")
-    return picked.select("doc_id", "grade", "text").mapInArrow(emit, "doc_id long, grade int, idx array<int>")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _shared.whole_text().alias("text")).join(F.broadcast(graded), "doc_id")
+    # Of several texts of one document the least by hash, then by itself.
+    one = picked.groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+    return one.select("doc_id", "grade", "text").mapInArrow(emit, "doc_id long, grade int, idx array<int>")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
@@ -160,8 +169,8 @@ def score(docs: DataFrame, model: Ordinal, tail: float = TAIL) -> DataFrame:
             expected = p @ np.arange(p.shape[1])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(expected), pa.array(p[:, -1]), pa.array(p[:, -1] >= tail)], names=["doc_id", "part", "expected_grade", "p_top", "keep"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part int, expected_grade double, p_top double, keep boolean")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("part"), "text")
+    return rows.mapInArrow(emit, "doc_id long, part long, expected_grade double, p_top double, keep boolean")
 
 
 def select(docs: DataFrame, model: Ordinal, tail: float = TAIL) -> DataFrame:

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 
 from scoreloom.llm import quality as Q
@@ -15,8 +17,25 @@ def test_probabilities_and_order():
     assert (p.argmax(axis=1) == [g for _, g in texts]).mean() > 0.95
 
 
-def test_gradient_against_differences():
-    """One step of the fit lowers the penalised loss that finite differences see."""
+def test_slopes_against_differences():
+    """The derivatives of the loss by scores and thresholds are its finite differences."""
+    rng = np.random.default_rng(1)
+    score, grades, cut = rng.normal(size=40), rng.integers(0, 4, 40), np.array([-0.7, 0.1, 1.3])
+
+    def loss(score, cut):
+        p = Q.Ordinal(np.zeros(1), cut).probabilities(score)
+        return -np.log(p[np.arange(40), grades]).mean()
+
+    by_score, by_cut = Q.slopes(score, cut, grades)
+    step = 1e-5
+    for found, at, f in ((by_score, score, lambda x: loss(x, cut)), (by_cut, cut, lambda x: loss(score, x))):
+        for i in range(len(at)):
+            move = np.zeros(len(at))
+            move[i] = step
+            assert abs((f(at + move) - f(at - move)) / (2 * step) - found[i]) < 1e-7
+
+
+def test_fit_lowers_the_loss():
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, 40, 8)) for _ in range(80)]
     grades = rng.integers(0, 3, 80)
@@ -28,6 +47,28 @@ def test_gradient_against_differences():
     assert loss(Q.fit(rows, grades, bits=6, rounds=60, l1=0)) < loss(Q.fit(rows, grades, bits=6, rounds=1, l1=0))
 
 
+def test_sample(spark):
+    """Labels without a document take no place, and a document has one row whatever its texts."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)] + [(3, "other text"), (3, "text 3"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(i, 0, 0) for i in range(1000, 1400)], "doc_id long, quality int, toxic int")
+    rows = Q.sampled(docs, labels, 20).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(20)) and {r.grade for r in rows} == {2}
+    assert {r.doc_id: r.idx for r in rows} == {r.doc_id: r.idx for r in Q.sampled(docs.repartition(3), labels, 20).collect()}
+    assert Q.sampled(docs, labels, 5).count() == 5
+
+
+def test_scores_against_brute_force(spark, small_docs):
+    """The query's probabilities from its own weights and thresholds, text by text."""
+    model = Q.train(small_docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    got = {r.doc_id: r for r in Q.score(small_docs, model).collect()}
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    for r in small_docs.collect():
+        z = sum(float(model.weights[i]) for i in Q.features((r.text or "").encode()).tolist())
+        low, high = (sigmoid(float(c) - z) for c in model.thresholds)
+        assert abs(got[r.doc_id].p_top - (1 - high)) < 1e-9 and abs(got[r.doc_id].expected_grade - (high - low + 2 * (1 - high))) < 1e-9
+        assert got[r.doc_id].keep == (got[r.doc_id].p_top >= Q.TAIL)
+
+
 def test_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = Q.train(docs, labels.where("doc_id % 4 <> 0"))
