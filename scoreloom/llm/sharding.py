@@ -6,8 +6,8 @@ and files can be pruned on any of the dimensions. Equal texts share one cell and
 it is DataFrame functions.
 
 The law is ``rows``: shards differ by one row at most. Ranks come from counts of cells and of
-parts of cells, never from one sorted partition; a text with more than HOT copies is
-spread over several parts.
+parts of cells, never from one sorted partition. A cell has as many parts as its rows ask for, and a text with
+more than HOT copies has parts of its own, so that its copies stand together too.
 
 Cases: null text is empty and null metadata the lowest value; repeated rows each get a place; an
 empty table gives no rows; other columns are ignored.
@@ -22,8 +22,9 @@ from . import _shared
 
 SHARDS = 8
 BITS = 4
-PARTS = 64
-HOT = 1000
+#: Rows that a task ranks at once, about.
+PART_ROWS = 50_000
+HOT = 10_000
 
 
 def number(column: Column, kind: str) -> Column:
@@ -72,24 +73,34 @@ def hilbert(df: DataFrame, names: list[str], bits: int = BITS, out: str = "curve
     return df.withColumn(out, index)
 
 
-def ranked(df: DataFrame, curve: str, group: str, copies: str, key: str, hot: int = HOT) -> DataFrame:
-    """``df`` with ``rank`` (gapless from 0, by curve, then group) and ``total``."""
-    spread = F.when(F.col(copies) > hot, 1 + F.pmod(F.xxhash64(key), F.ceil(F.col(copies) / hot))).otherwise(F.lit(0))
-    df = df.withColumns({"_part": F.pmod(F.col(group), F.lit(PARTS)).cast("int"), "_spread": spread})
-    parts = df.groupBy(curve, "_part", "_spread").agg(F.count("*").alias("_n"))
+def ranked(df: DataFrame, curve: str, group: str, copies: str, key: str, hot: int = HOT, part_rows: int = PART_ROWS) -> DataFrame:
+    """``df`` (stored) with ``rank`` (gapless from 0, by curve, then by group within parts of a cell) and ``total``."""
     # As many rows as the grid has cells, at most 2**(bits * dimensions).
-    cells = parts.groupBy(curve).agg(F.sum("_n").alias("_cell"))
+    cells = _shared.stored(df.groupBy(curve).agg(F.count("*").alias("_cell")), "cells")
     everything = Window.orderBy(curve).rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumns({"_cell_base": F.coalesce(F.sum("_cell").over(everything), F.lit(0)), "total": F.sum("_cell").over(Window.partitionBy(F.lit(0)))})
-    inside = Window.partitionBy(curve).orderBy("_part", "_spread").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.withColumn("_base", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(cells), curve)
-    bases = bases.select(curve, "_part", "_spread", (F.col("_base") + F.col("_cell_base")).alias("_base"), "total")
-    own = Window.partitionBy(curve, "_part", "_spread").orderBy(group, key)
-    out = df.withColumn("_row", F.row_number().over(own) - 1).join(bases, [curve, "_part", "_spread"])
-    return out.withColumn("rank", F.col("_base") + F.col("_row")).drop("_part", "_spread", "_base", "_row")
-
-
-def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), shards: int = SHARDS, bits: int = BITS) -> DataFrame:
+    cells = _shared.stored(cells, "cell_bases")
+    many = F.col(copies) > hot
+    df = df.join(F.broadcast(cells), curve).withColumns({
+        "_part": F.pmod(F.col(group), F.ceil(F.col("_cell") / part_rows)),
+        "_own": F.when(many, F.col(group)),
+        "_spread": F.when(many, F.pmod(F.xxhash64(key), F.ceil(F.col(copies) / hot))).otherwise(F.lit(0)),
+    })
+    place = ["_part", "_own", "_spread"]
+    parts = df.groupBy(curve, *place).agg(F.count("*").alias("_n"))
+    inside = Window.partitionBy(curve).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    bases = parts.select(F.col(curve).alias("_c"), *(F.col(p).alias(f"_b{p}") for p in place), F.coalesce(F.sum("_n").over(inside), F.lit(0)).alias("_base"))
+    bases = _shared.stored(bases, "bases")
+    same = F.lit(True)
+    for p in place:
+        same = same & F.col(p).eqNullSafe(F.col(f"_b{p}"))
+    own = Window.partitionBy(curve, *place).orderBy(group, key)
+    out = df.withColumn("_row", F.row_number().over(own) - 1).join(bases, (F.col(curve) == F.col("_c")) & same)
+    out = out.withColumn("rank", F.col("_cell_base") + F.col("_base") + F.col("_row"))
+    return out.drop(*place, "_row", "_base", "_cell", "_cell_base", "_c", *(f"_b{p}" for p in place))
+
+
+def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), shards: int = SHARDS, bits: int = BITS, hot: int = HOT, part_rows: int = PART_ROWS) -> DataFrame:
     """Every document's size, text_crc32, curve, shard and slot. The size is a dimension too."""
     kinds = dict(docs.dtypes)
     text = _shared.whole_text()
@@ -101,7 +112,7 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source"), sha
     firsts = [F.min("size").alias("_d_size"), *(F.min(f"_d{i}").alias(f"_d{i}") for i in range(len(dimensions)))]
     groups = _shared.stored(rows.groupBy("_group").agg(F.count("*").alias("_copies"), *firsts), "groups")
     groups = hilbert(quantise(groups, names, bits), names, bits).drop(*names)
-    placed = ranked(rows.drop(*names).join(groups, "_group"), "curve", "_group", "_copies", "doc_id")
+    placed = ranked(_shared.stored(rows.drop(*names).join(groups, "_group"), "placed"), "curve", "_group", "_copies", "doc_id", hot, part_rows)
     k = F.floor((F.col("rank") * shards - F.pmod(F.col("rank") * shards, F.col("total"))) / F.col("total")).cast("int")
     placed = placed.withColumn("shard", k)
     slot = F.col("rank") - F.ceil((F.col("shard") * F.col("total")) / shards)

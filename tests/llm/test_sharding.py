@@ -33,9 +33,24 @@ def test_documents(spark, small_docs, odd_docs, no_docs):
     assert S.shard(no_docs).collect() == []
 
 
-def test_hot_text(spark, monkeypatch):
-    docs = spark.range(5000).selectExpr("id as doc_id", "if(id % 3 < 2, 'same', concat('t', id)) as text", "'en' as lang", "concat('s', id % 7) as source")
-    law(docs)
+def test_hot_texts_stand_together(spark):
+    """Copies of several hot texts of one cell follow each other, whatever parts they are dealt to."""
+    docs = spark.range(5000).selectExpr("id as doc_id", "if(id % 3 < 2, concat('same', id % 2), concat('t', id % 1000)) as text", "'en' as lang", "'s' as source")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for more in ({}, {"hot": 50, "part_rows": 500}):
+        order = [texts[r.doc_id] for r in sorted(law(docs, **more), key=lambda r: (r.shard, r.slot))]
+        runs = [t for t, _ in itertools.groupby(order)]
+        assert len(runs) == len(set(order))
+
+
+def test_quantiles_against_brute_force(spark, small_docs):
+    """Each quantised dimension splits the texts at its quantiles: cells keep their order."""
+    rows = small_docs.selectExpr("doc_id", "length(text) as n")
+    got = S.quantise(rows.withColumn("q", rows.n), ["q"], 3).collect()
+    pairs = sorted((r.n, r.q) for r in got)
+    assert [q for _, q in pairs] == sorted(q for _, q in pairs) and {q for _, q in pairs} <= set(range(8))
+    share = [sum(q <= k for _, q in pairs) / len(pairs) for k in range(8)]
+    assert all(abs(s - (k + 1) / 8) < 0.05 for k, s in enumerate(share))
 
 
 def test_written(spark, small_docs, tmp_path):
