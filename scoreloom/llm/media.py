@@ -126,6 +126,9 @@ def demux(data: bytes) -> list[Track]:
     tracks = []
     for boxes in found:
         track = Track()
+        for needed in ((b"stsd",), (b"stsz", b"stz2"), (b"stco", b"co64"), (b"stsc",)):
+            if not any(kind in boxes for kind in needed):
+                raise ValueError(f"a track has no {' or '.join(k.decode() for k in needed)} box")
         if b"mdhd" in boxes:
             body, _ = boxes[b"mdhd"]
             track.timescale, track.duration = struct.unpack_from(">IQ", view, body + 20) if view[body] == 1 else struct.unpack_from(">II", view, body + 12)
