@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,13 +33,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored = path
+    for made in _watched:
+        made.append(path)
     return out
 
 
+#: Lists of the tables that have been stored while they were watched.
+_watched: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the table of a frame that ``stored`` gave, once nothing reads it any more."""
-    target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored)
-    target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+    _delete(df.sparkSession, df._stored)
+
+
+@contextmanager
+def cleared() -> Iterator[list[str]]:
+    """Delete the tables stored within, but those that are taken from the list, once what they lead to is stored itself."""
+    made: list[str] = []
+    _watched.append(made)
+    try:
+        yield made
+    finally:
+        _watched.remove(made)
+    for path in made:
+        _delete(SparkSession.active(), path)
 
 
 #: Rows, and bytes of their text, that are broadcast at most; what is larger is joined by shuffles.

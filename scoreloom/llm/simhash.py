@@ -192,7 +192,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     fps = _shared.stored(fingerprints(docs, shingle), "fingerprints")
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = least.join(near_classes(fps), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Stored, since adaptive execution splits a hot class only where both sides come straight from a shuffle.
+    classes = _shared.stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "classes")
     return fps.join(rooted.join(classes, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 

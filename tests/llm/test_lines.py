@@ -23,10 +23,13 @@ def expected(rows, least=0.8):
             x = root[x]
         return x
 
-    for i, a in enumerate(texts):
-        for b in texts[i + 1 :]:
-            if jaccard(a, b) >= least:
-                root[find(b)] = find(a)
+    held = sorted(((sets(t), t) for t in texts), key=lambda x: len(x[0]))
+    for i, (a, s) in enumerate(held):
+        for b, t in held[i + 1 :]:
+            if least * len(b) > len(a):
+                break
+            if len(a & b) >= least * len(a | b):
+                root[find(t)] = find(s)
     seen, gone = set(), set()
     for d, i, n in found:
         if find(n) in seen:
