@@ -9,7 +9,9 @@ bytes; previous and next smaller positions in suffix order give each window's ne
 later copies can be removed and the first kept, or, as the registered query asks, all of them.
 A bucket of over BLOCK distinct segments is settled by counting its single windows.
 
-Texts are bytes in UTF-8 and matches lie within one document. Cases: null text is empty; texts
+Texts are bytes in UTF-8 and matches lie within one document. Segments and windows that are settled by counting are
+told apart by two independent 64-bit hashes, of the anchor and of the bytes: of 10^12 distinct ones a pair shares
+both with a probability of 0.002. Cases: null text is empty; texts
 shorter than LEAST lose nothing; repeated rows are documents of their own and so repeat each other;
 an empty table gives no rows; other columns are ignored.
 """
@@ -30,7 +32,7 @@ CHUNK = 1 << 18
 #: Windows of a text that are taken at once; a longer text is read in parts that overlap by a window.
 PART = 1 << 22
 POSITION = (1 << 24) - 1
-SEGMENT = "core long, same long, doc_id long, part int, place long"
+SEGMENT = "core long, same long, doc_id long, part long, place long"
 
 
 def grams(data: "np.ndarray", width: int = GRAM) -> "np.ndarray":
@@ -277,11 +279,11 @@ def repeated_windows(docs: DataFrame, small: DataFrame, keep_first: bool = False
                 places = [w["place"] for w in row["wanted"]]
                 k = len(places)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w["core"] for w in row["wanted"]], pa.int64()), pa.array([row["doc_id"]] * k, pa.int64()), pa.array([row["part"]] * k, pa.int32()), pa.array(places, pa.int64()), pa.array([raw[p // 256 : p // 256 + p % 256 + least - 1] for p in places], pa.binary())],
+                    [pa.array([w["core"] for w in row["wanted"]], pa.int64()), pa.array([row["doc_id"]] * k, pa.int64()), pa.array([row["part"]] * k, pa.int64()), pa.array(places, pa.int64()), pa.array([raw[p // 256 : p // 256 + p % 256 + least - 1] for p in places], pa.binary())],
                     names=["core", "doc_id", "part", "place", "seg"],
                 )
 
-    segs = held.select("doc_id", "part", "wanted", "packed").mapInArrow(cut, "core long, doc_id long, part int, place long, seg binary")
+    segs = held.select("doc_id", "part", "wanted", "packed").mapInArrow(cut, "core long, doc_id long, part long, place long, seg binary")
     segs = segs.repartition("core").sortWithinPartitions("core", "doc_id", "part", "place")
     found = _shared.stored(matches(segs, keep_first, least), "matches")
     late, _ = _repeats(found.where("late"), keep_first)
@@ -303,8 +305,8 @@ def packed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             small = pa.array([pack.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), small], names=["doc_id", "part", "packed"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part int, packed binary"), rows
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("part"), "text")
+    return rows.mapInArrow(emit, "doc_id long, part long, packed binary"), rows
 
 
 def remove_repeats(docs: DataFrame, keep_first: bool = True, least: int = LEAST, with_kept: bool = True) -> DataFrame:
