@@ -68,7 +68,8 @@ def large_links(late: DataFrame, item: str, block: int, link: Link, least: Colum
     """
     grouped = lambda rows: rows.repartition("key", "x", "y").groupBy("key", "x", "y").applyInArrow(link, "u long, v long")
     names = [c for c in late.columns if c != "key"]
-    dealt = blocked(late, item, block, least)
+    # Smaller blocks here: the rows are as many, and their comparisons fewer.
+    dealt = blocked(late, item, max(1, block // 4), None if least is None else 4 * least)
     others = F.when(F.col("own") > 0, F.array("own")).when(F.col("n") > 1, F.sequence(F.lit(1).cast("long"), F.col("n") - 1)).otherwise(F.array(F.lit(0).cast("long")))
     first = dealt.select("key", *names, F.lit(0).cast("long").alias("x"), F.explode(others).alias("y"))
     found = _shared.stored(grouped(first), "first")

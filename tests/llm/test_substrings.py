@@ -93,7 +93,7 @@ def test_earlier_match(text, depth):
 def test_long_texts_in_parts(spark):
     """A text read in overlapping parts has the windows, and the anchors, that it has when read at once."""
     text = " ".join(str(i * i) for i in range(400)) + "ab" * 400
-    docs = spark.createDataFrame([(1, 0, text), (2, 0, text[:500]), (3, 0, None)], "doc_id long, part int, text string")
+    docs = spark.createDataFrame([(1, 0, text), (2, 0, text[:500]), (3, 0, None)], "doc_id long, part long, text string")
 
     def windows(part):
         rows = substrings.split(docs, part=part).collect()
