@@ -36,7 +36,7 @@ def structural(df: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     values = {
         "sentence_count": F.col("_sentences"), "paragraph_count": F.col("_paragraphs"), "unique_word_count": F.col("_unique"), "lexical_diversity": ratio(F.col("_unique"), n),
         "average_word_length": ratio(F.col("_letters"), n), "average_sentence_length_words": ratio(n, F.col("_sentences")), "average_paragraph_length_words": ratio(n, F.col("_paragraphs")),
-        "punctuation_count": T.count_of(c, r"(?U)[^\p{L}\p{N}\s\x1c-\x1f]"), "comma_count": T.count_of(c, ","), "sentence_terminal_count": F.col("_ends"),
-        "uppercase_ratio": ratio(T.count_of(c, r"\p{IsUppercase}"), T.count_of(c, r"\p{L}")), "digit_count": T.count_of(c, T.DIGIT),
+        "punctuation_count": T.count_chars(c, r"(?U)[\p{L}\p{N}\s\x1c-\x1f]+"), "comma_count": T.count_chars(c, "[^,]+"), "sentence_terminal_count": F.col("_ends"),
+        "uppercase_ratio": ratio(T.count_chars(c, r"\P{IsUppercase}+"), T.count_chars(c, r"\P{L}+")), "digit_count": T.count_chars(c, T.NO_DIGITS),
     }
     return own.select(*keep, *(values.get(name, F.col(name)).cast("double").alias(name) for name in NAMES))

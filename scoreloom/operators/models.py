@@ -164,15 +164,13 @@ def fit_and_predict(df: DataFrame, model: str, points: list[dict], predict_on: s
 
     Each grid point of each target is a group, so the 100s of fits of a grid run side by side.
     """
-    spark = df.sparkSession
-    asked = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(points)], "point int, params string")
     long = df.where(F.col("split").isin("train", predict_on)).select("split", "row_idx", "features", *targets)
-    long = long.unpivot(["split", "row_idx", "features"], list(targets), "target", "y").join(F.broadcast(asked), F.lit(True))
+    long = long.unpivot(["split", "row_idx", "features"], list(targets), "target", "y").withColumn("point", F.explode(F.array(*(F.lit(i) for i in range(len(points))))))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
-        params = json.loads(pdf["params"].iloc[0])
+        params = points[int(pdf["point"].iloc[0])]
         train = pdf[pdf["split"] == "train"].sort_values("row_idx")
         held = pdf[pdf["split"] == predict_on].sort_values("row_idx")
         x, index = matrix(train["features"])
@@ -224,11 +222,15 @@ def predict(df: DataFrame, model: DataFrame, split: str = "valid") -> DataFrame:
     def apply(frames):
         import numpy as np
 
+        held: dict = {}
         for pdf in frames:
             out = []
-            for f, columns, w, b in zip(pdf["features"], pdf["columns"], pdf["weights"], pdf["intercept"]):
-                z, _ = matrix(pd.Series([f]), None if columns is None else {c: i for i, c in enumerate(columns)})
-                out.append(float(np.clip(z[0] @ np.asarray(w) + b, 1.0, 5.0)))
+            for t, f, columns, w, b in zip(pdf["target"], pdf["features"], pdf["columns"], pdf["weights"], pdf["intercept"]):
+                if t not in held:
+                    held[t] = None if columns is None else dict(zip(columns, w)), np.asarray(w)
+                known, dense = held[t]
+                score = float(np.asarray(f, float) @ dense) if known is None else sum(known.get(c["term_idx"], 0.0) * c["value"] for c in f)
+                out.append(float(np.clip(score + b, 1.0, 5.0)))
             yield pd.DataFrame({"target": pdf["target"], "row_idx": pdf["row_idx"], "y": pdf["y"], "prediction": out})
 
     return joined.mapInPandas(apply, "target string, row_idx long, y long, prediction double")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.structural import ratio
 from ..functions.text import words
+from ..storage import bounded, stored
 from . import lexical
 
 # The features in their order.
@@ -21,19 +22,17 @@ def overlap(df: DataFrame, essay: str, prompt: str, keep: tuple[str, ...]) -> Da
     return own.select(*keep, n.alias("shared_token_count"), ratio(n, e + p - n).alias("essay_prompt_token_jaccard"), ratio(n, p).alias("prompt_token_coverage"))
 
 
-def tfidf_cosine(df: DataFrame, key: str, essay: str, prompt: str) -> DataFrame:
-    """key, tfidf_cosine_similarity, the weights fitted on training essays; 0 where a side has no known term.
+def tfidf_cosine(df: DataFrame, key: str, essay: str, prompt: str, vocab: DataFrame | None = None) -> DataFrame:
+    """key, tfidf_cosine_similarity; 0 where a side has no known term.
 
-    Prompts are weighted once for each distinct text.
+    ``vocab``: term_idx, term, idf; without it the weights are fitted on training essays. Prompts are weighted once for each distinct text.
     """
-    counts = lexical.term_counts(df, key, essay)
-    vocab = lexical.vocabulary(counts)
-    n_train = df.where("split = 'train'").count()
-    essays = lexical.tfidf(counts, vocab, key, n_train)
+    if vocab is None:
+        vocab = lexical.with_idf(lexical.fit_vocabulary(df, key, essay), df.where("split = 'train'").count())
+    essays = lexical.weighted(lexical.term_counts(df, key, essay), vocab, key)
     prompts = df.select(F.xxhash64(prompt).alias("_prompt"), F.col(prompt).alias("_text"), F.lit("prompt").alias("split")).dropDuplicates(["_prompt"])
-    weights = lexical.tfidf(lexical.term_counts(prompts, "_prompt", "_text"), vocab, "_prompt", n_train)
-    asked = df.select(key, F.xxhash64(prompt).alias("_prompt"))
-    both = essays.join(asked, key).join(weights.select("_prompt", "term_idx", F.col("value").alias("_other")), ["_prompt", "term_idx"])
+    weights = stored(lexical.weighted(lexical.term_counts(prompts, "_prompt", "_text"), vocab, "_prompt").select("_prompt", "term_idx", F.col("value").alias("_other")), "prompts")
+    both = essays.join(df.select(key, F.xxhash64(prompt).alias("_prompt")), key).join(bounded(weights), ["_prompt", "term_idx"])
     dots = both.groupBy(key).agg(F.sum(F.col("value") * F.col("_other")).alias("_dot"))
     return df.select(key).join(dots, key, "left").select(key, F.coalesce("_dot", F.lit(0.0)).alias("tfidf_cosine_similarity"))
 
@@ -57,13 +56,19 @@ def check_finite(df: DataFrame, columns: tuple[str, ...]) -> None:
         raise AssertionError("features are not finite")
 
 
-def essay_prompt(df: DataFrame, key: str, essay: str, prompt: str, cbow: DataFrame, skipgram: DataFrame) -> DataFrame:
-    """The six features. ``cbow`` and ``skipgram``: word, vector."""
+def vector_cosine(df: DataFrame, key: str, essay: str, prompt: str, vectors: DataFrame) -> DataFrame:
+    """key, cosine: that of the pooled vectors (word, vector) of essay and prompt. Prompts are pooled once for each distinct text."""
     from . import word2vec
 
-    out = tfidf_cosine(df, key, essay, prompt).join(overlap(df, essay, prompt, (key, "split")), key)
+    e = word2vec.pool(df.select(key, F.col(essay).alias("_t")), key, "_t", vectors).select(key, F.col("vector").alias("_e"))
+    asked = df.select(key, F.xxhash64(prompt).alias("_prompt"), F.col(prompt).alias("_t"))
+    p = word2vec.pool(asked.select("_prompt", "_t").dropDuplicates(["_prompt"]), "_prompt", "_t", vectors).select("_prompt", F.col("vector").alias("_p"))
+    return e.join(asked.select(key, "_prompt").join(p, "_prompt"), key).select(key, cosine(F.col("_e"), F.col("_p")).alias("cosine"))
+
+
+def essay_prompt(df: DataFrame, key: str, essay: str, prompt: str, cbow: DataFrame, skipgram: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
+    """The six features. ``cbow`` and ``skipgram``: word, vector; ``vocab``: term_idx, term, idf."""
+    out = tfidf_cosine(df, key, essay, prompt, vocab).join(overlap(df, essay, prompt, (key, "split")), key)
     for name, model in (("word2vec_cbow_cosine_similarity", cbow), ("word2vec_skipgram_cosine_similarity", skipgram)):
-        e = word2vec.pool(df.select(key, F.col(essay).alias("_t")), key, "_t", model).select(key, F.col("vector").alias("_e"))
-        p = word2vec.pool(df.select(key, F.col(prompt).alias("_t")), key, "_t", model).select(key, F.col("vector").alias("_p"))
-        out = out.join(e.join(p, key).select(key, cosine(F.col("_e"), F.col("_p")).alias(name)), key)
+        out = out.join(vector_cosine(df, key, essay, prompt, model).withColumnRenamed("cosine", name), key)
     return out.select(key, "split", *(F.col(n).cast("double").alias(n) for n in NAMES))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import comparison_key, stripped
 from ..schema import SCORES, TARGETS, columns_of
 
+#: Identifiers that a message lists at most.
+LISTED = 100
 NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -61,6 +63,8 @@ def duplicate_report(df: DataFrame, position: str = "position") -> DataFrame:
     Groups are numbered by first appearance. Only rows in groups are ranked.
     """
     keyed = df.select("split", "id", position, comparison_key(F.col("essay")).alias("key")).where("key <> ''")
+    # Grouped by a digest, so that no text is shuffled.
+    keyed = keyed.withColumn("key", F.sha2("key", 256))
     groups = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(position).alias("first"), (F.min("split") != F.max("split")).alias("across_datasets")).where("n > 1")
     groups = groups.withColumn("_cell", F.floor(F.col("first") / 65536))
     # Numbers come from counts of position ranges, then ranks within a range of at most 65,536 rows.
@@ -87,8 +91,10 @@ def validate(df: DataFrame, columns: dict[str, list[str]], expected_rows: dict[s
         if r.duplicate_id_rows:
             problems.append(f"{r.dataset}: contains duplicate IDs")
     problems += [f"{r.dataset}: {r.invalid} invalid scores in {r.target}" for r in invalid_scores(df).where("invalid > 0").orderBy("dataset", "target").collect()]
-    overlap = shared_ids(df).groupBy("first", "second").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("id")).alias("ids")).collect()
-    problems += [f"{r.first} and {r.second} share IDs: {r.ids}" for r in overlap]
+    shared = shared_ids(df)
+    for r in shared.groupBy("first", "second").agg(F.count("*").alias("n")).orderBy("first", "second").collect():
+        ids = [x.id for x in shared.where((F.col("first") == r["first"]) & (F.col("second") == r["second"])).orderBy("id").limit(LISTED).collect()]
+        problems.append(f"{r['first']} and {r['second']} share IDs: {ids}" + (f" and {r.n - LISTED} more" if r.n > LISTED else ""))
     if problems:
         raise ValueError("Validation failed:\n- " + "\n- ".join(problems))
     cast = df.withColumns({t: F.col(t).try_cast("double").cast("long") for t in TARGETS})

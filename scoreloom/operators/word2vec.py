@@ -12,6 +12,9 @@ from ..functions.structural import ratio
 from ..functions.text import words
 
 
+ARCHITECTURES = ("cbow", "skipgram")
+
+
 @dataclass(frozen=True)
 class Word2VecConfig:
     vector_size: int = 100
@@ -26,8 +29,9 @@ class Word2VecConfig:
         for name in ("vector_size", "window", "min_count", "epochs", "workers"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be positive")
-        if self.architecture not in ("cbow", "skipgram"):
-            raise ValueError("architecture must be 'cbow' or 'skipgram'")
+        object.__setattr__(self, "architecture", self.architecture.lower())
+        if self.architecture not in ARCHITECTURES:
+            raise ValueError(f"{self.architecture!r} is none of {', '.join(ARCHITECTURES)}")
 
     def parameters(self) -> dict:
         return asdict(self)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +36,25 @@ def read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
 
-def id_hashes(df: DataFrame, blocks: int = 1 << 16) -> DataFrame:
-    """split, count, sha256 of the ids joined in row order by a backslash and an n."""
-    held = df.groupBy("split").agg(F.count("*").alias("count"), F.array_sort(F.collect_list(F.struct("row_idx", "id"))).alias("ids"))
-    return held.select("split", "count", F.sha2(F.array_join(F.transform("ids", lambda s: s["id"]), r"\n"), 256).alias("sha256"))
+def id_hashes(df: DataFrame) -> DataFrame:
+    """split, count, sha256 of the ids joined in row order by a backslash and an n.
+
+    A digest is sequential, so a split's ids stream through one task in order; it holds one batch at a time.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        state: dict[str, list] = {}
+        for batch in batches:
+            for split, id_ in zip(batch.column("split").to_pylist(), batch.column("id").to_pylist()):
+                held = state.setdefault(split, [0, hashlib.sha256()])
+                held[1].update((r"\n" if held[0] else "").encode() + (id_ or "").encode())
+                held[0] += 1
+        rows = [(k, n, h.hexdigest()) for k, (n, h) in state.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["split", "count", "sha256"])
+
+    return df.select("split", "row_idx", "id").repartition("split").sortWithinPartitions("split", "row_idx", "id").mapInArrow(digest, "split string, count long, sha256 string")
 
 
 def content_hash(df: DataFrame) -> str:

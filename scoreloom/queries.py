@@ -66,6 +66,8 @@ def query(name: str, sql: str | None = None):
 # SQL that several queries share.
 SPLIT = "CASE WHEN doc_id % 10 < 6 THEN 'train' WHEN doc_id % 10 = 6 THEN 'valid' ELSE 'test' END"
 SPACES = r"\x1c-\x1f \t\x0b\f\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: Upper-case characters that are no letters: Roman numerals, circled, squared and negative letters.
+UPPERCASE = r"\x{2160}-\x{216f}\x{24b6}-\x{24cf}\x{1f130}-\x{1f149}\x{1f150}-\x{1f169}\x{1f170}-\x{1f189}"
 WORD, LEXICAL = r"[\p{L}\p{N}_]+", r"[\p{L}\p{N}_]{2,}"
 
 
@@ -239,32 +241,34 @@ def _counts(spark, sf_dir) -> DataFrame:
     return lexical.term_counts(plain(spark, sf_dir), "doc_id", "text")
 
 
+def _vocabulary(spark, sf_dir) -> DataFrame:
+    return lexical.fit_vocabulary(plain(spark, sf_dir), "doc_id", "text")
+
+
 @query("vocabulary", f"WITH {COUNTS} SELECT term_idx, term, df FROM vocab")
 def vocabulary(spark, sf_dir):
-    return lexical.vocabulary(_counts(spark, sf_dir))
+    return _vocabulary(spark, sf_dir)
 
 
 @query("document_frequency", f"WITH {COUNTS} SELECT df, count(*) AS terms, round(max(idf), {DIGITS}) AS idf FROM vocab GROUP BY df")
 def document_frequency(spark, sf_dir):
     n = plain(spark, sf_dir).where("split = 'train'").count()
-    return rounded(lexical.with_idf(lexical.vocabulary(_counts(spark, sf_dir)), n).groupBy("df").agg(F.count("*").alias("terms"), F.max("idf").alias("idf")))
+    return rounded(lexical.with_idf(_vocabulary(spark, sf_dir), n).groupBy("df").agg(F.count("*").alias("terms"), F.max("idf").alias("idf")))
 
 
 @query("bow", f"WITH {COUNTS} SELECT doc_id, split, term_idx, n AS value FROM bow")
 def bow(spark, sf_dir):
-    counts = _counts(spark, sf_dir)
-    return lexical.bow(counts, lexical.vocabulary(counts), "doc_id")
+    return lexical.bow(_counts(spark, sf_dir), _vocabulary(spark, sf_dir), "doc_id")
 
 
 @query("tf", f"WITH {COUNTS} SELECT doc_id, split, term_idx, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), {DIGITS}) AS value FROM bow")
 def tf(spark, sf_dir):
-    counts = _counts(spark, sf_dir)
-    return rounded(lexical.tf(counts, lexical.vocabulary(counts), "doc_id"))
+    return rounded(lexical.tf(_counts(spark, sf_dir), _vocabulary(spark, sf_dir), "doc_id"))
 
 
 def _tfidf(spark, sf_dir) -> DataFrame:
-    counts = _counts(spark, sf_dir)
-    return rounded(lexical.tfidf(counts, lexical.vocabulary(counts), "doc_id", plain(spark, sf_dir).where("split = 'train'").count()))
+    n_train = plain(spark, sf_dir).where("split = 'train'").count()
+    return rounded(lexical.tfidf(_counts(spark, sf_dir), _vocabulary(spark, sf_dir), "doc_id", n_train))
 
 
 _TFIDF = f"SELECT doc_id, split, term_idx, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)), {DIGITS}) AS value FROM bow"
@@ -284,7 +288,7 @@ def tfidf_transform_valid(spark, sf_dir):
 
 @query("lexical_shapes", f"WITH {COUNTS} SELECT split, count(*) AS rows, (SELECT count(*) FROM vocab) AS feature_dimension FROM tok GROUP BY split")
 def lexical_shapes(spark, sf_dir):
-    return lexical.shapes(plain(spark, sf_dir), lexical.vocabulary(_counts(spark, sf_dir)))
+    return lexical.shapes(plain(spark, sf_dir), _vocabulary(spark, sf_dir))
 
 
 def _sql_ratio(a: str, b: str) -> str:
@@ -295,7 +299,7 @@ _F = {
     "character_count": "length(essay_clean)", "word_count": "len(w)", "sentence_count": "s", "paragraph_count": "p", "unique_word_count": "u", "lexical_diversity": _sql_ratio("u", "len(w)"),
     "average_word_length": _sql_ratio("length(array_to_string(w, ''))", "len(w)"), "average_sentence_length_words": _sql_ratio("len(w)", "s"), "average_paragraph_length_words": _sql_ratio("len(w)", "p"),
     "punctuation_count": _sql_count("essay_clean", rf"[^\p{{L}}\p{{N}}\n{SPACES}]"), "comma_count": _sql_count("essay_clean", ","), "sentence_terminal_count": "e",
-    "uppercase_ratio": _sql_ratio(_sql_count("essay_clean", r"\p{Lu}"), _sql_count("essay_clean", r"\p{L}")), "digit_count": _sql_count("essay_clean", r"\p{Nd}"),
+    "uppercase_ratio": _sql_ratio(_sql_count("essay_clean", rf"[\p{{Lu}}{UPPERCASE}]"), _sql_count("essay_clean", r"\p{L}")), "digit_count": _sql_count("essay_clean", rf"[\p{{Nd}}{text.OTHER_DIGITS}]"),
 }
 
 
