@@ -24,7 +24,7 @@ SHARDS = 8
 BITS = 4
 #: Rows that a task ranks at once, about.
 PART_ROWS = 50_000
-HOT = 10_000
+HOT = 1000
 
 
 def number(column: Column, kind: str) -> Column:
