@@ -177,7 +177,7 @@ def late_links(late: DataFrame, block: int = buckets.BLOCK) -> DataFrame:
 def near_classes(fps: DataFrame) -> DataFrame:
     """fp, root for each distinct fingerprint of ``fps`` (fp) that is linked with a lesser one."""
     # Dealt out again: 64 keys are made of each fingerprint, and adaptive execution sees only the few bytes before that.
-    distinct = fps.select("fp").distinct().repartition("fp")
+    distinct = fps.select("fp").distinct().repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     keyed = keys(distinct).repartition("key").sortWithinPartitions("key")
     found = _shared.stored(links(keyed), "links")
     edges = found.where("not late").select("u", "v")
