@@ -1,4 +1,4 @@
-"""Commands: preprocess, tune, train, evaluate."""
+"""Commands: preprocess, transform, tune, train, evaluate."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ import json
 
 from pyspark.sql import SparkSession
 
-from .operators import models
-from .plans import runs
+from .operators import contextual, models
+from .plans import catalog, runs
+from .sources import files
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None, expected_rows: dict[str, int] | None = None) -> object:
@@ -18,6 +19,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, expec
     p.add_argument("--data-dir", required=True)
     p.add_argument("--representation", default="all")
     p.add_argument("--word2vec-architecture", default="cbow", choices=("cbow", "skipgram"))
+    t = commands.add_parser("transform")
+    t.add_argument("--csv", required=True)
+    t.add_argument("--run", default="latest")
+    t.add_argument("--representation", required=True)
+    t.add_argument("--output", required=True)
+    for p in (p, t):
+        p.add_argument("--encoder", help="a folder with tokenizer.json and model.onnx")
+        p.add_argument("--device", default="auto", choices=("auto", *contextual.PLACES))
+        p.add_argument("--batch-size", type=int, default=4)
     for name in ("tune", "train", "evaluate"):
         p = commands.add_parser(name)
         p.add_argument("--config")
@@ -29,8 +39,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, expec
         p.add_argument("--runs", required=True)
     args = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName("scoreloom").getOrCreate()
+    if args.command in ("preprocess", "transform"):
+        encoder = contextual.Encoder(args.encoder, args.device, args.batch_size) if args.encoder else None
     if args.command == "preprocess":
-        return runs.preprocess(spark, args.data_dir, args.runs, args.representation, args.word2vec_architecture, expected_rows)
+        return runs.preprocess(spark, args.data_dir, args.runs, args.representation, args.word2vec_architecture, expected_rows, encoder=encoder)
+    if args.command == "transform":
+        name = catalog.canonical(args.representation)
+        run = runs.resolve_or_raise(spark, args.runs, name, args.run)
+        runs.transform(spark, run, name, files.load_rows(spark, args.csv), encoder).write.parquet(args.output)
+        return args.output
     config = models.load_config(args.config)
     names = args.representation or config["representations"]
     params, _ = models.parameters(args.model, config["models"])

@@ -13,6 +13,13 @@ NAMES = (
     "average_paragraph_length_words", "punctuation_count", "comma_count", "sentence_terminal_count", "uppercase_ratio", "digit_count", "paragraph_marker_count", "title_marker_count",
     "erasure_marker_count", "symbol_marker_count", "unknown_marker_count", "out_of_line_marker_count", "undocumented_marker_count",
 )
+#: What each counts, over the cleaned essay; ratios are zero where nothing stands below the line.
+DEFINITIONS = {
+    "character_count": "code points", "word_count": "words", "sentence_count": "runs of . ! or ?, and one at least in a text that is not empty", "paragraph_count": "lines that are not blank",
+    "unique_word_count": "distinct words", "lexical_diversity": "distinct words for each word", "average_word_length": "code points of words for each word",
+    "average_sentence_length_words": "words for each sentence", "average_paragraph_length_words": "words for each paragraph", "punctuation_count": "code points that are no letter, number or space",
+    "comma_count": "commas", "sentence_terminal_count": "runs of . ! or ?", "uppercase_ratio": "uppercase code points for each letter", "digit_count": "digits of any script",
+} | {n: f"markers in the raw essay: {n.removesuffix('_marker_count')}" for n in NAMES[14:]}
 NEEDED = ("essay_clean", "character_count", "word_count", *NAMES[14:])
 
 

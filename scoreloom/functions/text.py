@@ -26,6 +26,8 @@ CANDIDATE = r"[\[{][^\[\]{}\n]{0,30}[\]}]|<[^<>\n]{1,30}>"
 BETWEEN_WORDS = r"[^\p{L}\p{N}_]+"
 SPACE = r"(?U)[\s\x1c-\x1f&&[^\n]]+"
 
+#: How texts are cut up, for manifests.
+TOKENS = "words are runs of Unicode letters, numbers and underscores; case and accents stay, no word is left out"
 DOCUMENTED = [t for tokens in MARKERS.values() for t in tokens]
 
 

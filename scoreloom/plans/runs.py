@@ -67,8 +67,8 @@ def new_run(root: str) -> str:
     return f"{root}/run-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%fZ}"
 
 
-def preprocess(spark: SparkSession, data_dir: str, root: str, representation: str = "all", architecture: str = "cbow", expected_rows: dict[str, int] | None = None, config=None, contextual: dict | None = None) -> str:
-    """Validate, clean, build and store; returns the run's folder."""
+def preprocess(spark: SparkSession, data_dir: str, root: str, representation: str = "all", architecture: str = "cbow", expected_rows: dict[str, int] | None = None, config=None, encoder=None) -> str:
+    """Validate, clean, fit, transform and store; returns the run's folder. ``config`` is a Word2VecConfig, ``encoder`` an Encoder."""
     hashes = files.file_hashes(spark, data_dir)
     raw, columns = files.load_collection(spark, data_dir)
     checked, summary, duplicates = validation.validate(raw, columns, expected_rows)
@@ -87,9 +87,12 @@ def preprocess(spark: SparkSession, data_dir: str, root: str, representation: st
     names = catalog.DEFAULT_SET if representation == "all" else (catalog.canonical(representation, architecture),)
     made = {}
     for name in names:
-        df, metadata = build.build(name, stored, config, contextual)
-        df.write.partitionBy("split").parquet(f"{run}/representations/{name}")
+        states, written = store_states(spark, run, name, build.fit(name, stored, config))
+        build.transform(name, stored, states, encoder).write.partitionBy("split").parquet(f"{run}/representations/{name}")
         back = spark.read.parquet(f"{run}/representations/{name}")
+        metadata = build.describe(name, back, states, config, encoder) | {"states": written}
+        if "feature_names" in metadata:
+            write_text(spark, f"{run}/states/{name}/feature_names.json", json.dumps(metadata["feature_names"], indent=1))
         shapes = {r["split"]: [r["count"], metadata["feature_dimension"]] for r in back.groupBy("split").count().collect()}
         if {k: v[0] for k, v in shapes.items()} != {k: v["count"] for k, v in ids.items()}:
             raise AssertionError(f"{name}: the stored rows differ from the collection's")
@@ -102,6 +105,34 @@ def preprocess(spark: SparkSession, data_dir: str, root: str, representation: st
     return run
 
 
+def store_states(spark: SparkSession, run: str, name: str, states: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The fitted tables as the run stores them, and the hash of each."""
+    held = {}
+    for k, df in states.items():
+        df.write.parquet(f"{run}/states/{name}/{k}")
+        held[k] = spark.read.schema(df.schema).parquet(f"{run}/states/{name}/{k}")
+    return held, {k: content_hash(df) for k, df in held.items()}
+
+
+def load_states(spark: SparkSession, run: str, name: str) -> dict[str, DataFrame]:
+    """The fitted tables of a run, after a check of their content."""
+    metadata = manifest_of(spark, run)["representations"].get(name)
+    if metadata is None:
+        raise ValueError(f"{run} has no {name}")
+    held = {}
+    for k, want in metadata.get("states", {}).items():
+        held[k] = spark.read.parquet(f"{run}/states/{name}/{k}")
+        if content_hash(held[k]) != want:
+            raise ValueError(f"{name}: the stored {k} differs from the manifest")
+    return held
+
+
+def transform(spark: SparkSession, run: str, name: str, raw: DataFrame, encoder=None) -> DataFrame:
+    """split, row_idx, id, features of new rows (split, row_idx, id, essay, prompt) by what the run fitted; nothing is fitted anew."""
+    states = load_states(spark, run, name)
+    return build.transform(name, text_functions.add_clean_columns(raw), states, encoder).select("split", "row_idx", "id", "features")
+
+
 def manifest_of(spark: SparkSession, run: str) -> dict:
     try:
         found = json.loads(read_text(spark, f"{run}/manifest.json"))
@@ -182,4 +213,4 @@ def load(spark: SparkSession, run: str, name: str) -> DataFrame:
         raise ValueError(f"{name}: the content differs from the manifest")
     if missing := sorted(set(TARGETS) - set(rows.columns)):
         raise ValueError(f"missing targets: {missing}")
-    return df.join(rows.select("split", "row_idx", *(F.col(t).cast("long") for t in TARGETS)), ["split", "row_idx"])
+    return df.select("split", "row_idx", "id", "features").join(rows.select("split", "row_idx", *(F.col(t).cast("long") for t in TARGETS)), ["split", "row_idx"])

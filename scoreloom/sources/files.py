@@ -32,15 +32,20 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).options(**options).csv(path).na.fill("")
 
 
-def load_collection(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, list[str]]]:
-    """One frame of all splits with ``split`` and ``row_idx`` (the place in its file), and each split's own columns."""
+def load_rows(spark: SparkSession, path: str, split: str = "new", base: int = 0) -> DataFrame:
+    """The rows of one file with ``split`` and ``row_idx``, their place in it from ``base``."""
     from pyspark.sql import Window
 
+    # A multi-line CSV file is one partition, so its order is that of the file.
+    at = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) - 1
+    return read_csv(spark, path).withColumns({"split": F.lit(split), "row_idx": F.lit(base).cast("long") + at})
+
+
+def load_collection(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, list[str]]]:
+    """One frame of all splits with ``split`` and ``row_idx`` (the place in its file), and each split's own columns."""
     parts, columns = [], {}
     for order, split in enumerate(SPLITS):
-        df = read_csv(spark, f"{folder}/{split}.csv")
-        columns[split] = df.columns
-        # A multi-line CSV file is one partition, so its order is that of the file.
-        at = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) - 1
-        parts.append(df.withColumns({"split": F.lit(split), "row_idx": F.lit(order << 40).cast("long") + at}))
+        df = load_rows(spark, f"{folder}/{split}.csv", split, order << 40)
+        columns[split] = [c for c in df.columns if c not in ("split", "row_idx")]
+        parts.append(df)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), columns

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from scoreloom.operators import contextual, lexical, pairs, word2vec
 
+from .encoders import tiny_encoder
+
 TRAIN = ["Alpha Alpha beta", "Alpha beta gamma", "Alpha beta gamma"]
 OTHER = [("valid", "Alpha validationonly"), ("valid", "beta gamma"), ("test", "testonly beta"), ("test", "Alpha beta")]
 
@@ -71,12 +73,22 @@ def test_chunks_and_means(spark):
     df = spark.createDataFrame([(0, list(range(7))), (1, [])], "k int, ids array<int>")
     assert [r[0] for r in df.orderBy("k").select(contextual.chunks(F.col("ids"), 3)).collect()] == [[[0, 1, 2], [3, 4, 5], [6]], [[]]]
     hidden = np.array([[[1, 2], [3, 4], [100, 100]]], float)
-    assert contextual.masked_mean(hidden, np.array([[1, 1, 0]])).tolist() == [[2, 3]] and contextual.masked_mean(hidden, np.zeros((1, 3))).tolist() == [[0, 0]]
-    assert contextual.max_length(10**9, 512, None) == 512 and contextual.resolve_device("auto", False) == "cpu"
+    assert contextual.chunk_vectors(hidden, np.array([[1, 1, 0]])).tolist() == [[2, 3]] and contextual.chunk_vectors(hidden, np.zeros((1, 3))).tolist() == [[0, 0]]
     with pytest.raises(ValueError):
-        contextual.max_length(None, 10**9)
+        contextual.chunk_vectors(hidden, np.ones((1, 2)))
+
+
+def test_limits_and_places():
+    assert contextual.least_limit(10**9, 512, None, 0, True) == 512
+    with pytest.raises(ValueError):
+        contextual.least_limit(None, 10**9)
+    cpu, gpu = ["CPUExecutionProvider"], ["CPUExecutionProvider", "CUDAExecutionProvider"]
+    assert contextual.place("auto", cpu) == "cpu" and contextual.place("auto", gpu) == "cuda" and contextual.place("cpu", gpu) == "cpu"
     with pytest.raises(RuntimeError):
-        contextual.resolve_device("cuda", False)
+        contextual.place("cuda", cpu)
+    for bad in ({"device": "tpu"}, {"batch_size": 0}):
+        with pytest.raises(ValueError):
+            contextual.Encoder("x", **bad)
 
 
 def test_length_statistics(spark):
@@ -85,24 +97,19 @@ def test_length_statistics(spark):
     assert (r.min, r.max, r.over_max, r.median, r["mean"]) == (1, 10, 25.0, 2.5, 4.0)
 
 
-def fake_encoder():
-    """Ids 1 to n, hidden states that repeat the id."""
-
-    def encode(texts):
-        return [list(range(1, len(t.split()) + 1)) for t in texts]
-
-    def forward(parts):
-        width = max(map(len, parts)) + 2
-        ids = np.array([[101, *p, 102] + [0] * (width - len(p) - 2) for p in parts])
-        mask = np.array([[1] * (len(p) + 2) + [0] * (width - len(p) - 2) for p in parts])
-        return np.repeat(ids[..., None], 3, axis=2), mask
-
-    return encode, forward
-
-
-def test_embed(spark):
-    df = spark.createDataFrame([(0, "a b"), (1, " ".join("abcdefghi")), (2, "")], "k long, text string")
-    rows = {r.k: r for r in contextual.embed(df, "k", "text", fake_encoder, limit=8).collect()}
-    mean = lambda ids: (203 + sum(ids)) / (2 + len(ids))
-    assert [rows[k].n_chunks for k in (0, 1, 2)] == [1, 2, 1]
-    assert rows[0].vector == pytest.approx([mean([1, 2])] * 3) and rows[1].vector == pytest.approx([(mean(range(1, 7)) + mean(range(7, 10))) / 2] * 3) and rows[2].vector == pytest.approx([mean([])] * 3)
+def test_embed(spark, tmp_path):
+    """Against means by hand: hidden states of id i are (i, 2i, 1), a chunk has ids 2 and 3 around six of a text's."""
+    encoder = contextual.Encoder(tiny_encoder(tmp_path / "tiny"), batch_size=2)
+    texts = ["a b", " ".join("abcdefghi"), "", None, "zzz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    rows = {r.k: r for r in contextual.embed(df, "k", "text", encoder).collect()}
+    mean = lambda ids: (5 + sum(ids)) / (2 + len(ids))
+    want = [mean([4, 5]), (mean(range(4, 10)) + mean(range(10, 13))) / 2, mean([]), mean([]), mean([1])]
+    for k, m in enumerate(want):
+        assert rows[k].vector == pytest.approx([m, 2 * m, 1])
+    assert [(rows[k].n_tokens, rows[k].n_chunks) for k in range(5)] == [(2, 1), (9, 2), (0, 1), (0, 1), (1, 1)]
+    assert contextual.embed(df.limit(0), "k", "text", encoder).count() == 0
+    with pytest.raises(ValueError, match="special"):
+        contextual.Encoder(encoder.folder, limit=2).room()
+    stats = contextual.chunk_statistics(df.sparkSession.createDataFrame([("t", 1), ("t", 3)], "split string, n int"), "n").first()
+    assert (stats.multi_chunk_documents, stats.max_chunks, stats.mean_chunks) == (1, 3, 2.0)

@@ -5,11 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoreloom import cli
-from scoreloom.operators import models, validation
+from scoreloom.functions import structural
+from scoreloom.operators import contextual, models, validation, word2vec
 from scoreloom.plans import catalog, runs
 from scoreloom.schema import TARGETS
 from scoreloom.sources import files
 
+from .encoders import tiny_encoder
+
 ROWS = {"train": 2, "valid": 1, "test": 1}
 ESSAYS = {"train": ["[T] Alpha [P] beta", "Alpha beta"], "valid": ["Alpha gamma"], "test": ["Alpha delta"]}
 
@@ -40,7 +43,8 @@ def test_end_to_end(spark, folder, tmp_path):
     run = cli.main(["preprocess", "--data-dir", str(folder), "--runs", root], spark, ROWS)
     manifest = runs.manifest_of(spark, run)
     assert set(manifest["representations"]) == set(catalog.DEFAULT_SET) and manifest["row_counts"] == ROWS and len(manifest["input_hashes"]) == 4
-    assert runs.resolve_run(spark, root) .endswith(run.rsplit("/", 1)[1])
+    assert set(manifest["representations"]["structural"]["feature_definitions"]) == set(structural.NAMES)
+    assert runs.resolve_run(spark, root).endswith(run.rsplit("/", 1)[1])
     df = runs.load(spark, run, "structural")
     assert df.count() == 4 and df.where("split = 'train'").agg(F.sum("cohesion")).first()[0] == 3
     tuned = cli.main(["tune", "--runs", root, "--output", out, "--representation", "structural", "--representation", "bert"], spark)
@@ -62,6 +66,37 @@ def test_end_to_end(spark, folder, tmp_path):
         runs.manifest_of(spark, run)
 
 
+def test_states_and_transform(spark, folder, tmp_path):
+    """What a run fitted gives its own rows their features again, and new texts theirs."""
+    root, out = str(tmp_path / "runs"), str(tmp_path / "out")
+    config = word2vec.Word2VecConfig(vector_size=4, epochs=1)
+    encoder = tiny_encoder(tmp_path / "tiny")
+    states = {"tfidf": {"vocabulary"}, "word2vec_cbow": {"vectors"}, "essay_prompt": {"vocabulary", "cbow_vectors", "skipgram_vectors"}, "bert": set()}
+    for name, want in states.items():
+        run = runs.preprocess(spark, str(folder), root, name, expected_rows=ROWS, config=config, encoder=contextual.Encoder(encoder))
+        metadata = runs.manifest_of(spark, run)["representations"][name]
+        assert set(metadata["states"]) == want == set(runs.load_states(spark, run, name))
+        rows = spark.read.parquet(f"{run}/cleaned").select("split", "row_idx", "id", "essay", "prompt")
+        again = {r.row_idx: r.features for r in runs.transform(spark, run, name, rows, contextual.Encoder(encoder)).collect()}
+        first = {r.row_idx: r.features for r in runs.load(spark, run, name).collect()}
+        assert set(first) == set(again)
+        for k, v in first.items():
+            flat = lambda x: [float(z) for y in x for z in (y if isinstance(y, tuple) else (y,))]
+            assert flat(again[k]) == pytest.approx(flat(v), abs=1e-6)
+        if name == "bert":
+            assert metadata["split_statistics"]["train"]["multi_chunk_documents"] == 0 and metadata["maximum_length"] == 8
+        if name == "essay_prompt":
+            assert json.loads(runs.read_text(spark, f"{run}/states/{name}/feature_names.json")) == metadata["feature_names"]
+    (tmp_path / "new.csv").write_text("id,essay,prompt\nn-1,Alpha Alpha unseen,P\n")
+    cli.main(["transform", "--runs", root, "--csv", str(tmp_path / "new.csv"), "--representation", "tfidf", "--output", out], spark)
+    made = spark.read.parquet(out).first()
+    assert made.id == "n-1" and [(c.term_idx, c.value) for c in made.features] == [(0, 1.0)]
+    run = runs.resolve_or_raise(spark, root, "tfidf")
+    spark.createDataFrame([(0, "other", 1, 1.0)], "term_idx long, term string, df long, idf double").write.mode("overwrite").parquet(f"{run}/states/tfidf/vocabulary")
+    with pytest.raises(ValueError, match="vocabulary differs"):
+        runs.load_states(spark, run, "tfidf")
+
+
 def collection(spark, **change):
     rows = [("train", "train-1", "A", "P", "1"), ("train", "train-2", "B", "P", "2.0"), ("valid", "valid-1", "C", "P", "3"), ("test", "test-1", "D", "P", None)]
     df = spark.createDataFrame([(i, *r, *[r[-1]] * 3) for i, r in enumerate(rows)], "row_idx long, split string, id string, essay string, prompt string, " + ", ".join(f"{t} string" for t in TARGETS))
