@@ -174,11 +174,17 @@ def late_links(late: DataFrame, block: int = buckets.BLOCK) -> DataFrame:
     return buckets.large_links(late, "fp", block, link)
 
 
+def dealt(fps: DataFrame) -> DataFrame:
+    """The distinct ``fp`` in as many partitions as shuffles have: 64 keys are made of each, and adaptive execution sees only the few bytes before that.
+
+    By a hash of it, since the planner removes a repartition by the columns that distinct() has dealt by already.
+    """
+    return fps.select("fp").distinct().repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
+
+
 def near_classes(fps: DataFrame) -> DataFrame:
     """fp, root for each distinct fingerprint of ``fps`` (fp) that is linked with a lesser one."""
-    # Dealt out again: 64 keys are made of each fingerprint, and adaptive execution sees only the few bytes before that.
-    distinct = fps.select("fp").distinct().repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    keyed = keys(distinct).repartition("key").sortWithinPartitions("key")
+    keyed = keys(dealt(fps)).repartition("key").sortWithinPartitions("key")
     found = _shared.stored(links(keyed), "links")
     edges = found.where("not late").select("u", "v")
     late = found.where("late").select(F.col("u").alias("key"), F.col("v").alias("fp"))

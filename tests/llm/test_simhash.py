@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from scoreloom.llm import buckets, components, simhash
 
@@ -71,6 +72,12 @@ def test_no_link_is_lost(spark, monkeypatch):
     assert {r[0]: roots.get(r[0], r[0]) for r in rows} == expected
 
 
+def test_keys_are_made_in_all_partitions(spark):
+    fps = spark.range(20000).select((F.col("id") % 5000).alias("fp"))
+    tasks = simhash.keys(simhash.dealt(fps)).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < 2 * 64 * 5000 / 8
+
+
 def test_large_buckets(spark):
     values = near(6, 300)
     late = spark.createDataFrame([(0, int(np.uint64(x & ~((1 << 26) - 1)).astype(np.int64))) for x in values], "key long, fp long").distinct()
