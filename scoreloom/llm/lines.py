@@ -113,8 +113,16 @@ def _fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
         if len(seen) > SEEN:
             seen.clear()
         seen.update(new)
-        if new:
-            yield list(new.values())
+        # A very long text comes in parts of about CHUNK characters, as the arrays made of them are many times their size.
+        part, held = [], 0
+        for line in new.values():
+            if held and held + len(line) > CHUNK:
+                yield part
+                part, held = [], 0
+            part.append(line)
+            held += len(line)
+        if part:
+            yield part
 
 
 def banded(rows: DataFrame) -> DataFrame:
