@@ -60,6 +60,24 @@ def test_word2vec(spark, docs, architecture):
         word2vec.Word2VecConfig(architecture="glove")
 
 
+def test_skipgram_leaves_the_vocabulary_to_its_shards(spark, monkeypatch):
+    """pyspark.ml's holds all words on the driver. Words of one topic come to lie together, in many shards and several epochs too."""
+    monkeypatch.setattr("pyspark.ml.feature.Word2Vec", None)
+    monkeypatch.setattr(word2vec, "SHARD_TOKENS", 6000)
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{k}" for k in rng.integers(0, 20, 40)) + f" once{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, text string")
+    for least, epochs in ((1, 8), (2, 8)):
+        config = word2vec.Word2VecConfig(vector_size=8, epochs=epochs, min_count=least, architecture="skipgram", workers=2)
+        got = {r.word: np.array(r.vector) for r in word2vec.fit(df, "text", config, "k").collect()}
+        topics = {f"{t}{k}" for t in "ab" for k in range(20)}
+        assert set(got) == topics | ({f"once{i}" for i in range(600)} if least == 1 else set())
+        a, b = (np.array([got[f"{t}{k}"] / np.linalg.norm(got[f"{t}{k}"]) for k in range(20)]) for t in "ab")
+        assert min((a @ a.T).mean(), (b @ b.T).mean()) > (a @ b.T).mean() + 0.5
+    same = spark.createDataFrame([(0, "a " * 30000), (1, "a b " * 30000)], "k int, text string")
+    assert all(np.abs(r.vector).max() < 100 for r in word2vec.fit(same, "text", config, "k").collect())
+
+
 def test_essay_prompt(spark, docs):
     own = docs.withColumn("prompt", F.when(F.col("k") == 3, "").otherwise("Alpha beta"))
     models = [word2vec.fit(own.where("split = 'train'"), "text", word2vec.Word2VecConfig(vector_size=4, epochs=1, architecture=a), "k") for a in ("cbow", "skipgram")]
