@@ -197,6 +197,25 @@ def test_svr_grid_on_unscaled_features():
     assert time.time() - began < 100
 
 
+def test_grid_sends_rows_once_per_target(spark, monkeypatch):
+    """Each target's matrix is made once for all points, and every point has its own fit."""
+    rng = np.random.default_rng(6)
+    rows = [("train" if i < 40 else "valid", i, rng.normal(size=3).tolist(), *map(int, rng.integers(1, 6, 4))) for i in range(60)]
+    df = spark.createDataFrame(rows, "split string, row_idx long, features array<double>, " + ", ".join(f"{t} long" for t in TARGETS))
+    points = models.grid("linear_svr")
+    made = models.fit_and_predict(df, "linear_svr", points)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "point" not in plan.split("FlatMapGroupsInPandas")[-1].split("\n", 1)[1]
+    got = {(r.point, r.target, r.row_idx): r for r in made.collect()}
+    assert set(got) == {(p, t, i) for p in range(20) for t in TARGETS for i in range(40, 60)}
+    x, z = (np.array([r[2] for r in rows if r[0] == s]) for s in ("train", "valid"))
+    for k, t in enumerate(TARGETS):
+        y = np.array([r[3 + k] for r in rows if r[0] == "train"], float)
+        for p in (0, 7, 19):
+            w, b = models.solve_svr(x, y, **points[p])
+            assert [got[p, t, i].prediction for i in range(40, 60)] == pytest.approx(np.clip(z @ w + b, 1, 5).tolist())
+
+
 def test_config(tmp_path):
     assert len(models.grid("ridge")) == 10 and len(models.grid("linear_svr")) == 20
     path = tmp_path / "m.yaml"
