@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of documents at a similarity of 0.8 or more, over shingles of five words, the one with the least id stays.
+    """Of each class of near-duplicates the document with the least id stays: by fingerprints, or at a similarity of 0.8 or more over shingles of five words.
 
     Documents that share the least id: the one with the least hash of its text, once.
     """

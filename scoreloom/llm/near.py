@@ -1,6 +1,8 @@
-"""Near-duplicate classes of documents by exact Jaccard similarity of their five-word shingles.
+"""Near-duplicate classes of documents by SimHash fingerprints and by exact Jaccard similarity of five-word shingles.
 
-Texts are compared by the set of their shingles, split at ASCII white space with A-Z lower-cased. MinHash
+Texts are split at ASCII white space with A-Z lower-cased. Fingerprints that differ in at most four bits link their
+texts, by pigeonring filtering as in ``simhash``. Most pairs at a similarity of 0.8 are further apart than that in
+bits, so texts are also linked by the sets of their shingles: MinHash
 signatures of independent permutations in sixteen bands of four find candidates: a pair at the threshold shares
 a band with probability 0.9997. Texts that share a band are verified by exact similarity; verified links form
 components. Equal word sequences are one node, so they never become pairs. Buckets with many or long texts
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import _shared, components, lines
+from . import _shared, components, lines, simhash
 
 SHINGLE = 5
 BANDS, ROWS = 16, 4
@@ -26,7 +28,7 @@ SIMILARITY = 0.8
 SEED = 42
 CHUNK = 1 << 20
 #: Words whose hashes a task remembers.
-KNOWN = 1_000_000
+KNOWN = 100_000
 
 
 class _Hashes(dict):
@@ -93,9 +95,9 @@ def band_keys(texts: list[list[bytes]], bands: int = BANDS, rows: int = ROWS) ->
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, part, lid, keys: the hash of the document's text, that of its words, and its band keys.
+    """doc_id, part, lid, keys, fp: the hash of the document's text, that of its words, their band keys and fingerprint.
 
-    The keys come with the first document of those words in a task; ``keys`` is empty at others.
+    The keys and the fingerprint come with the first document of those words in a task; at others ``keys`` is empty and ``fp`` null.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,10 +115,23 @@ def signatures(docs: DataFrame) -> DataFrame:
             ends[np.array(new, np.int64) + 1] = BANDS
             keys = band_keys([texts[k] for k in new]).ravel() if new else np.zeros(0, np.uint64)
             keys = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(keys.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(lid), keys], names=["doc_id", "part", "lid", "keys"])
+            fps = np.zeros(len(texts), np.uint64)
+            fps[new] = [simhash.fingerprint(b" ".join(texts[k])) for k in new]
+            others = np.ones(len(texts), bool)
+            others[new] = False
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(lid), keys, pa.array(fps.view(np.int64), mask=others)], names=["doc_id", "part", "lid", "keys", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_shared.whole_text()).alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part long, lid long, keys array<long>")
+    return rows.mapInArrow(emit, "doc_id long, part long, lid long, keys array<long>, fp long")
+
+
+def fingerprint_links(rows: DataFrame) -> DataFrame:
+    """u, v: each text of a class of fingerprints with the least of them."""
+    fps = _shared.stored(rows.where("fp is not null").select("lid", "fp").distinct(), "fingerprints")
+    named = fps.join(simhash.near_classes(fps), "fp", "left").select("lid", F.coalesce("root", "fp").alias("root"))
+    named = _shared.stored(named, "named")
+    least = _shared.stored(named.groupBy("root").agg(F.min("lid").alias("v")), "least")
+    return named.join(least, "root").select(F.col("lid").alias("u"), "v").where("u <> v")
 
 
 def near_classes(docs: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -125,7 +140,7 @@ def near_classes(docs: DataFrame, rows: DataFrame, least: float = SIMILARITY) ->
     needed = rows.join(found.select("lid").distinct(), "lid", "left_semi").groupBy("lid").agg(F.min("part").alias("part"))
     texts = docs.select(F.xxhash64(_shared.whole_text()).alias("part"), _shared.whole_text().alias("line")).join(needed, "part")
     links = _shared.stored(lines.verified(found.join(texts.dropDuplicates(["lid"]).drop("part"), "lid"), least, shingles), "links")
-    edges = links.where("not late").select("u", "v")
+    edges = links.where("not late").select("u", "v").unionByName(fingerprint_links(rows))
     late = links.where("late").select(F.col("u").alias("key"), F.col("v").alias("lid"), "line")
     if late.take(1):
         edges = edges.unionByName(lines.late_links(_shared.stored(late, "late"), least, split=shingles))

@@ -39,6 +39,18 @@ def test_pairs_far_apart_in_bits_are_linked(spark):
     assert kept == set(slow_classes(dict(enumerate(map(sets, texts))), similar).values()) == set(range(0, len(texts), 2))
 
 
+def test_fingerprints_link_what_similarity_does_not(spark):
+    """The stage takes the links of the fingerprints too: a much repeated passage outweighs different words beside it."""
+    from scoreloom.llm import simhash
+
+    same = "one two three four five six seven " * 60
+    texts = [same + " ".join(f"{w}{i}" for i in range(12)) for w in "abc"] + [" ".join(f"d{i}" for i in range(80))]
+    fps = [simhash.fingerprint(t.encode()) for t in texts]
+    assert max((fps[0] ^ f).bit_count() for f in fps[1:3]) <= 4 and not similar(sets(texts[0]), sets(texts[1]))
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in P.near_dedup(spark, docs, "").collect()} == {0, 3}
+
+
 def test_documents(spark, small_docs):
     assert classes(small_docs) == slow_classes({r.doc_id: sets(r.text) for r in small_docs.collect()}, similar)
 
