@@ -31,7 +31,9 @@ BLOCK = 1024
 DENSE_CELLS = 8_000_000
 CHUNK = 1 << 20
 #: Bytes of text that a task compares at once; larger buckets are compared block by block.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
+#: Characters that are hashed at once: the arrays made of them stay in the processor's cache.
+PART = 1 << 15
 #: Lines that a task remembers, so that it gives each once; beyond, it may give some again.
 SEEN = 2_000_000
 
@@ -71,6 +73,14 @@ def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS) -> "np.nda
     """The keys of each line's bands, one column per band."""
     import numpy as np
 
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    cuts = np.flatnonzero(np.diff(ends // PART, prepend=0, append=-1)).tolist()
+    return np.concatenate([_band_keys(lines[a:b], bands, rows) for a, b in zip([0, *cuts], cuts) if a < b] or [np.zeros((0, bands), np.uint64)])
+
+
+def _band_keys(lines: list[str], bands: int, rows: int) -> "np.ndarray":
+    import numpy as np
+
     bins = bands * rows
     line, h = shingles(lines)
     empty = np.uint64((1 << 64) - 1)

@@ -149,3 +149,19 @@ def test_bucket_of_few_lines_from_many_tasks(spark):
         keyed = spark.range(14400).selectExpr("7L AS key", f"id % {lines} AS lid")
         found = L.candidates(keyed).collect()
         assert len({r.key for r in found}) == 1 and {r.lid for r in found} == set(range(lines))
+
+
+def test_band_keys_come_in_parts(monkeypatch):
+    """Hashing part by part gives the keys that hashing all at once does, and takes a part's memory only."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    texts = ["x", "a" * 200_000, *("".join(rng.choices("abcdef ", k=rng.randrange(1, 400))) for _ in range(6000)), "y" * 70_000, "", "z"]
+    whole = L._band_keys(texts, L.BANDS, L.ROWS)
+    assert (L.band_keys(texts) == whole).all() and L.band_keys([]).shape == (0, L.BANDS)
+    many = texts[2:6002]
+    tracemalloc.start()
+    L.band_keys(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 << 20
