@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: What a Python worker keeps from task to task, by operator.
+_kept: dict[str, object] = {}
+
 SLICE_BYTES = 8 << 20
 
 
@@ -94,6 +97,44 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def kept(operator: str, make: Callable[[], object]) -> object:
+    """What ``operator`` keeps in this worker, made where it is missing."""
+    if operator not in _kept:
+        _kept[operator] = make()
+    return _kept[operator]
+
+
+# Functions of the module, since what ``lean`` returns is sent to workers with copies of the names it uses.
+def _forget(but: str) -> None:
+    for other in _kept.keys() - {but}:
+        del _kept[other]
+
+
+def _trim() -> None:
+    """Give the memory that is free in this process back to the system."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # only glibc has it
+        trim(0)
+
+
+def lean(emit: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], operator: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``emit`` for ``mapInArrow``: before it, what others than ``operator`` keep goes, and after it, free memory.
+
+    Workers live through all stages of a run, and several share an executor's memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget(operator)
+        try:
+            yield from emit(batches)
+        finally:
+            _trim()
+
+    return run
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``limit`` bytes in each; every row stays whole."""
     import pyarrow.compute as pc

@@ -175,7 +175,7 @@ def candidates(keyed: DataFrame) -> DataFrame:
                 lids.append(own)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(lids))], names=["key", "lid"])
 
-    return keyed.repartition("key").sortWithinPartitions("key", "lid").mapInArrow(emit, "key long, lid long").distinct()
+    return keyed.repartition("key").sortWithinPartitions("key", "lid").mapInArrow(_shared.lean(emit, "near"), "key long, lid long").distinct()
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
         for lines in _fresh(batches):
             yield pa.RecordBatch.from_arrays([pa.array(_identify(lines)), pa.array(lines)], names=["lid", "line"])
 
-    return docs.select("text").mapInArrow(emit, "lid long, line string")
+    return docs.select("text").mapInArrow(_shared.lean(emit), "lid long, line string")
 
 
 def _similar(lines: list[str], least: float, split: Split = shingles) -> Callable[["np.ndarray", "np.ndarray"], "np.ndarray"]:
@@ -265,7 +265,7 @@ def verified(found: DataFrame, least: float = SIMILARITY, split: Split = shingle
                 u, v = np.concatenate(us), np.concatenate(vs)
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array([False] * len(u), pa.bool_()), pa.nulls(len(u), pa.string())], names=names)
 
-    return found.repartition("key").sortWithinPartitions("key", "lid").mapInArrow(emit, "u long, v long, late boolean, line string")
+    return found.repartition("key").sortWithinPartitions("key", "lid").mapInArrow(_shared.lean(emit, "near"), "u long, v long, late boolean, line string")
 
 
 def late_links(late: DataFrame, least: float = SIMILARITY, block: int = BLOCK, split: Split = shingles) -> DataFrame:
@@ -329,7 +329,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cells, names=["doc_id", "part", "at", "lid", "head", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part long, at int, lid long, head boolean, keys array<long>")
+    return rows.mapInArrow(_shared.lean(emit), "doc_id long, part long, at int, lid long, head boolean, keys array<long>")
 
 
 def removals(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:

@@ -41,9 +41,6 @@ class _Hashes(dict):
         return found
 
 
-_hashes = _Hashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     """The words as compared; only A-Z change case."""
     return (text or "").encode().lower().split()
@@ -59,9 +56,10 @@ def _shingles(texts: list[list[bytes]], size: int = SHINGLE) -> tuple["np.ndarra
 
     lengths = np.fromiter((max(len(w), size) for w in texts), np.int64, len(texts))
     data = np.zeros(int(lengths.sum()), np.uint64)
+    hashes = _shared.kept("near", _Hashes)
     at = 0
     for words, n in zip(texts, lengths.tolist()):
-        data[at : at + len(words)] = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+        data[at : at + len(words)] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
         at += n
     n = max(0, len(data) - size + 1)
     h = data[:n].copy()
@@ -122,7 +120,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(lid), keys, pa.array(fps.view(np.int64), mask=others)], names=["doc_id", "part", "lid", "keys", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_shared.whole_text()).alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part long, lid long, keys array<long>, fp long")
+    return rows.mapInArrow(_shared.lean(emit, "near"), "doc_id long, part long, lid long, keys array<long>, fp long")
 
 
 def fingerprint_links(rows: DataFrame) -> DataFrame:

@@ -58,11 +58,6 @@ class WordIds:
     ``PLAIN``, or with a special token's string, go to the tokenizer whole.
     """
 
-    #: Shared by the tasks of a worker, by path: the parts met lately, and those met before them.
-    caches: dict[str, list[dict[str, tuple[int, ...]]]] = {}
-    #: One object for each id, so that the parts share them.
-    numbers: dict[int, int] = {}
-
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
@@ -71,8 +66,9 @@ class WordIds:
         self.model = self.tokenizer.model
         self.parts = regex.compile(PART).findall
         self.letters = byte_letters()
-        self.seen = self.caches.setdefault(path, [{}, {}])
-        self.number = self.numbers.setdefault
+        # Shared by the tasks of a worker, by path: the parts met lately, those met before them, and one object for each id, so that the parts share them.
+        self.seen, numbers = _shared.kept("packing", dict).setdefault(path, ([{}, {}], {}))
+        self.number = numbers.setdefault
 
     def part(self, part: str) -> tuple[int, ...]:
         ids = self.seen[0].get(part)
@@ -163,7 +159,7 @@ def tokenize(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY)
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_shared.lean(cut, "packing"), PIECES)
 
 
 def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

@@ -146,7 +146,7 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _shared.whole_text().alias("text")).join(F.broadcast(graded), "doc_id")
     # Of several texts of one document the least by hash, then by itself.
     one = picked.groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
-    return one.select("doc_id", "grade", "text").mapInArrow(emit, "doc_id long, grade int, idx array<int>")
+    return one.select("doc_id", "grade", "text").mapInArrow(_shared.lean(emit), "doc_id long, grade int, idx array<int>")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
@@ -170,7 +170,7 @@ def score(docs: DataFrame, model: Ordinal, tail: float = TAIL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(expected), pa.array(p[:, -1]), pa.array(p[:, -1] >= tail)], names=["doc_id", "part", "expected_grade", "p_top", "keep"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("part"), "text")
-    return rows.mapInArrow(emit, "doc_id long, part long, expected_grade double, p_top double, keep boolean")
+    return rows.mapInArrow(_shared.lean(emit), "doc_id long, part long, expected_grade double, p_top double, keep boolean")
 
 
 def select(docs: DataFrame, model: Ordinal, tail: float = TAIL) -> DataFrame:
@@ -184,7 +184,7 @@ def select(docs: DataFrame, model: Ordinal, tail: float = TAIL) -> DataFrame:
             total = np.array([model.weights[features((t or "").encode())].sum() for t in batch.column("text").to_pylist()])
             yield batch.filter(pa.array(model.probabilities(total)[:, -1] >= tail))
 
-    return docs.select(*names).mapInArrow(emit, docs.schema)
+    return docs.select(*names).mapInArrow(_shared.lean(emit), docs.schema)
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
