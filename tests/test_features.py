@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from scoreloom import queries
 from scoreloom.operators import contextual, lexical, pairs, word2vec
 
 from .encoders import tiny_encoder
@@ -78,6 +80,77 @@ def test_skipgram_leaves_the_vocabulary_to_its_shards(spark, monkeypatch):
     assert all(np.abs(r.vector).max() < 100 for r in word2vec.fit(same, "text", config, "k").collect())
 
 
+def test_word2vec_docs_trains_with_the_default_settings(spark, monkeypatch):
+    """The query's model once had 16 dimensions and 1 epoch of the 100 and 20."""
+    seen = []
+
+    def fit(train, text, config, key):
+        seen.append(config)
+        return spark.createDataFrame([("the", [1.0] * config.vector_size)], "word string, vector array<float>")
+
+    monkeypatch.setattr(word2vec, "fit", fit)
+    out = queries.word2vec_docs(spark, "/root/testdata/sf0.001")
+    default = word2vec.Word2VecConfig()
+    assert [(c.vector_size, c.window, c.min_count, c.epochs, c.seed) for c in seen] == [(default.vector_size, default.window, default.min_count, default.epochs, default.seed)] == [(100, 5, 1, 20, 42)]
+    assert {len(r.vector) for r in out.collect()} == {100}
+
+
+def test_skipgram_step_against_pairs():
+    """The products over blocks are the sums over pairs of words; epochs in one call are those in several."""
+    rng = np.random.default_rng(3)
+    lists = [[f"w{k}" for k in rng.integers(0, 60, n)] for n in (1, 7, 40, 90, 160)]
+    rows = pa.table({"shard": pa.array([4] * 5, pa.int32()), "order": range(5), "tokens": lists})
+    config = word2vec.Word2VecConfig(vector_size=6, window=11, epochs=1, architecture="skipgram")
+    names = list(dict.fromkeys(w for r in lists for w in r))
+    inner, outer = rng.normal(size=(2, len(names), 6)).astype(np.float32)
+    shuffled = rng.permutation(len(names))
+    given = pa.table({"shard": pa.array([4] * len(names), pa.int32()), "word": [names[i] for i in shuffled], "vector": [inner[i].tobytes() for i in shuffled], "outer": [outer[i].tobytes() for i in shuffled]})
+    got = word2vec._skipgram(rows, given, config, range(1))
+
+    code = {w: i for i, w in enumerate(names)}
+    ids, doc = [code[w] for r in lists for w in r], [i for i, r in enumerate(lists) for _ in r]
+    n = np.bincount(ids)
+    drawing = np.random.default_rng([config.seed, 0])
+    far = drawing.integers(1, config.window + 1, word2vec.STEP)
+    noise = np.cumsum(n**0.75)
+    drawn = np.searchsorted(noise, drawing.random(word2vec.NOISE) * noise[-1], side="right")
+    pull = lambda s: 1 / (1 + np.exp(-np.clip(s, -20, 20)))
+    moves = {"vector": np.zeros_like(inner), "outer": np.zeros_like(outer)}
+    sums = {"vector": np.zeros(len(names)), "outer": np.zeros(len(names))}
+
+    def move(a, b, g):
+        moves["vector"][a] += g * outer[b]
+        moves["outer"][b] += g * inner[a]
+        sums["vector"][a] += abs(g)
+        sums["outer"][b] += abs(g)
+
+    for i, a in enumerate(ids):
+        near = [j for j in range(max(0, i - far[i]), min(len(ids), i + far[i] + 1)) if j != i and doc[j] == doc[i]]
+        for j in near:
+            move(a, ids[j], 0.025 * (1 - pull(inner[a] @ outer[ids[j]])))
+        for z in drawn:
+            move(a, z, -0.025 * len(near) * 5 / word2vec.NOISE * pull(inner[a] @ outer[z]))
+    assert got.column("word").to_pylist() == names and got.column("k").to_pylist() == n.tolist()
+    for c, start in (("vector", inner), ("outer", outer)):
+        expected = start + moves[c] / np.maximum(sums[c], 1)[:, None]
+        assert np.array([np.frombuffer(b, np.float32) for b in got.column(c).to_pylist()]) == pytest.approx(expected, abs=1e-4)
+
+    config = word2vec.Word2VecConfig(vector_size=6, epochs=3, architecture="skipgram")
+    first = word2vec._skipgram(rows, None, config, range(1))
+    assert word2vec._skipgram(rows, first, config, range(1, 3)) == word2vec._skipgram(rows, None, config, range(3))
+
+
+def test_means_of_shards():
+    """By count, of words in any order and over several chunks."""
+    pack = lambda *x: np.array(x, np.float32).tobytes()
+    schema = pa.schema({"shard": pa.int32(), "word": pa.string(), "k": pa.int64(), "vector": pa.binary(), "outer": pa.binary()})
+    rows = [(1, "b", 1, pack(1, 2), pack(0, 0)), (0, "a", 5, pack(7, 8), pack(1, 1)), (0, "b", 3, pack(5, 6), pack(4, 8)), (2, "c", 2, pack(9, 9), pack(3, 3))]
+    made = pa.concat_tables([pa.Table.from_pylist([dict(zip(schema.names, r)) for r in part], schema) for part in (rows[:1], rows[1:])])
+    got = {(r["shard"], r["word"]): (np.frombuffer(r["vector"], np.float32).tolist(), np.frombuffer(r["outer"], np.float32).tolist()) for r in word2vec._averaged(made).to_pylist()}
+    assert got == {(1, "b"): ([4, 5], [3, 6]), (0, "b"): ([4, 5], [3, 6]), (0, "a"): ([7, 8], [1, 1]), (2, "c"): ([9, 9], [3, 3])}
+    assert {r["word"]: r["vector"] for r in word2vec._final(made).to_pylist()} == {"a": [7, 8], "b": [4, 5], "c": [9, 9]}
+
+
 def test_essay_prompt(spark, docs):
     own = docs.withColumn("prompt", F.when(F.col("k") == 3, "").otherwise("Alpha beta"))
     models = [word2vec.fit(own.where("split = 'train'"), "text", word2vec.Word2VecConfig(vector_size=4, epochs=1, architecture=a), "k") for a in ("cbow", "skipgram")]
